@@ -12,7 +12,11 @@ from sievework.plans.qualify import prepared
 from sievework.plans.website import website_results
 from sievework.sources.tables import answers_from_replies, page_texts, profiles_from_responses
 
-RUN_TIME = F.lit("2024-05-01 12:00:00").cast("timestamp")
+RUN_TIME = "2024-05-01 12:00:00"
+
+
+def run_time() -> Column:
+    return F.lit(RUN_TIME).cast("timestamp")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

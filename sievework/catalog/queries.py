@@ -46,7 +46,7 @@ def query(build: Query) -> Query:
 
 
 def _qualified(spark, sf_dir):
-    return qualify(fx.contacts(spark, sf_dir), fx.prepared_pages(spark, sf_dir), fx.website_answers(spark, sf_dir), fx.RUN_TIME)
+    return qualify(fx.contacts(spark, sf_dir), fx.prepared_pages(spark, sf_dir), fx.website_answers(spark, sf_dir), fx.run_time())
 
 
 def _site_results(spark, sf_dir):
@@ -215,7 +215,7 @@ def rubric_leads(spark, sf_dir):
     contacts, pages = fx.contacts(spark, sf_dir), fx.prepared_pages(spark, sf_dir)
     texts = pages.select(cache_key(F.lit("s1"), F.col("page_url")).alias("cache_key"), "page_text")
     answers = answers_from_replies(answers_from_rubric(texts, "page_text", WEBSITE_RULES, WEBSITE))
-    return qualify(contacts, pages, answers, fx.RUN_TIME).select("contact_id", "s1_score", "s1_error", "lead_tier")
+    return qualify(contacts, pages, answers, fx.run_time()).select("contact_id", "s1_score", "s1_error", "lead_tier")
 
 
 @query
@@ -237,7 +237,7 @@ def qualified_leads(spark, sf_dir):
 @query
 def qualified_leads_cached(spark, sf_dir):
     contacts, pages, answers = fx.contacts(spark, sf_dir), fx.prepared_pages(spark, sf_dir), fx.website_answers(spark, sf_dir)
-    return qualify(contacts, pages, answers, fx.RUN_TIME, cache=fx.website_cache(spark, sf_dir))
+    return qualify(contacts, pages, answers, fx.run_time(), cache=fx.website_cache(spark, sf_dir))
 
 
 @query
@@ -268,7 +268,7 @@ def run_summary(spark, sf_dir):
 @query
 def checkpoint_leads(spark, sf_dir):
     done = _site_results(spark, sf_dir).filter(F.col("s1_error") != errors.NO_ANSWER)
-    return checkpoint_snapshot(fx.contacts(spark, sf_dir), done, fx.RUN_TIME)
+    return checkpoint_snapshot(fx.contacts(spark, sf_dir), done, fx.run_time())
 
 
 @query

@@ -15,6 +15,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievework.functions.text import collapse_whitespace
 
@@ -40,17 +41,18 @@ NATIVE_ENTITIES = (
 )
 
 _UNSEEN = DROPPED_ELEMENTS + HIDDEN_ELEMENTS
-_BLOCKS = "|".join(rf"<{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in _UNSEEN)
+# Alternations are factored so that a matcher has to look closer at '<' (and '=') only.
+_BLOCKS = "|".join(rf"{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in _UNSEEN)
 # One alternation, so that whichever construct starts first wins, as in a parser.
-_REMOVED = rf"(?is)<!--.*?-->|{_BLOCKS}"
+_REMOVED = rf"(?is)<(?:!--.*?-->|{_BLOCKS})"
 _TAG = r"<[^>]*>"
 
 # Signs, in the text left after removal, that removal or tag stripping did not do what a parser does:
 # a leftover tag of a removed element or an unclosed comment, a '<' that starts no tag, a CDATA section,
-# a '>' inside a quoted attribute, a tag cut off by the end of the text.
+# a tag cut off by the end of the text, a '>' inside a quoted attribute.
 _IRREGULAR_MARKUP = (
-    rf"(?is)</?(?:{'|'.join(_UNSEEN)})(?![a-z0-9:_.-])|<!--|<!\[|<(?![a-z/!?])"
-    r"""|="[^"<]*>[^"]*"|='[^'<]*>[^']*'|<[^>]*$"""
+    rf"(?is)<(?:/?(?:{'|'.join(_UNSEEN)})(?![a-z0-9:_.-])|!--|!\[|(?![a-z/!?])|[^>]*$)"
+    r"""|=(?:"[^"<]*>[^"]*"|'[^'<]*>[^']*')"""
 )
 # Comment ends on which parsers disagree, and self-closing tags of removed elements, which hold nothing.
 _IRREGULAR_REMOVAL = r"(?is)^<!--(?:-?>|.*--(?:!|\s+)>)|^<[a-z]+[^>]*/>"
@@ -113,7 +115,7 @@ def _decode_entities(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def parsed_text(html: pd.Series) -> pd.Series:
     """The visible text by a real parser, for the rows that carry markup; NULL elsewhere."""
     result = pd.Series([None] * len(html), index=html.index, dtype=object)
