@@ -49,9 +49,10 @@ _TAG = r"<[^>]*>"
 
 # Signs, in the text left after removal, that removal or tag stripping did not do what a parser does:
 # a leftover tag of a removed element or an unclosed comment, a '<' that starts no tag, a CDATA section,
-# a tag cut off by the end of the text, a '>' inside a quoted attribute.
+# an empty end tag (which separates nothing), a tag cut off by the end of the text, a '>' inside a quoted
+# attribute.
 _IRREGULAR_MARKUP = (
-    rf"(?is)<(?:/?(?:{'|'.join(_UNSEEN)})(?![a-z0-9:_.-])|!--|!\[|(?![a-z/!?])|[^>]*$)"
+    rf"(?is)<(?:/?(?:{'|'.join(_UNSEEN)})(?![a-z0-9:_.-])|!--|!\[|/>|(?![a-z/!?])|[^>]*$)"
     r"""|=(?:"[^"<]*>[^"]*"|'[^'<]*>[^']*')"""
 )
 # Comment ends on which parsers disagree, and self-closing tags of removed elements, which hold nothing.
@@ -59,14 +60,13 @@ _IRREGULAR_REMOVAL = r"(?is)^<!--(?:-?>|.*--(?:!|\s+)>)|^<[a-z]+[^>]*/>"
 _IRREGULAR_ENTITY = rf"&(?!(?:{'|'.join(NATIVE_ENTITIES)});)[A-Za-z#]"
 
 # Inside a removed element an end tag may close something opened before it. Innermost balanced elements are
-# erased a few levels deep; if any end tag remains, the page is left to the parser.
+# erased a few levels deep; if any tag remains, the page is left to the parser.
 _CHILDLESS = (
     rf"(?is)<!--.*?-->|<script(?:\s[^>]*)?>.*?</script\s*>|<style(?:\s[^>]*)?>.*?</style\s*>"
     rf"|<[a-z][^<>]*/>|<(?:{'|'.join(VOID_ELEMENTS)})(?:\s[^<>]*)?>"
 )
 _INNERMOST = r"(?is)<([a-z][a-z0-9-]*)(?:\s[^<>]*)?>[^<]*</\1\s*>"
 _NESTING_LEVELS = 12
-_UNBALANCED = r"(?i)</|<!--|<script|<style"
 
 
 def with_page_text(pages: DataFrame, html: str = "html", out: str = "page_text") -> DataFrame:
@@ -105,7 +105,7 @@ def _misnested(removed: Column) -> Column:
     text = F.regexp_replace(F.array_join(blocks, "\n"), _CHILDLESS, "")
     for _ in range(_NESTING_LEVELS):
         text = F.regexp_replace(text, _INNERMOST, "")
-    return text.rlike(_UNBALANCED)
+    return F.contains(text, F.lit("<"))
 
 
 def _decode_entities(text: Column) -> Column:

@@ -5,49 +5,63 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot from this share of all rows; there can be no more than 1 / HOT_SHARE such keys.
-HOT_SHARE = 0.001
+# A key with at least this many rows is cut into pieces of about this size.
+ROWS_PER_PIECE = 1_000_000
+# Keys that can be cut. Any other key holds less than 1 / MAX_HOT_KEYS of all rows.
+MAX_HOT_KEYS = 1000
 
 
-def spread_left_join(left: DataFrame, right: DataFrame, key: str, row_id: str) -> DataFrame:
+def spread_left_join(
+    left: DataFrame, right: DataFrame, key: str, row_id: str, rows_per_piece: int = ROWS_PER_PIECE
+) -> DataFrame:
     """``left`` LEFT JOIN ``right`` on ``key``, with hot keys of ``left`` spread over many tasks.
 
-    Keys holding at least ``HOT_SHARE`` of the left rows are cut into pieces of about that share: left rows
-    take a piece by their ``row_id``, right rows are repeated once per piece. By construction there are at
-    most ``1 / HOT_SHARE`` hot keys and twice as many pieces whatever the size of the data, so the list of
-    hot keys is broadcast. It comes from exact counts, so both sides always agree on it. Rows without a key,
-    which match nothing, are spread by their id too.
+    The largest keys are cut into pieces: left rows take a piece by their ``row_id``, right rows are repeated
+    once per piece. Which keys those are comes from exact counts over the key column in a fixed order, so
+    both sides always agree on it, and the list is broadcast because it cannot exceed ``MAX_HOT_KEYS`` rows.
+    It steers the work only: all rows of all keys are joined either way. Rows without a key, which match
+    nothing, are spread by their id too.
     """
-    counts = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
     hot = F.broadcast(
-        counts.filter(F.col("_n") >= F.greatest(total * HOT_SHARE, F.lit(2))).select(
-            key, F.ceil(F.col("_n") / (total * HOT_SHARE)).cast("int").alias("_pieces")
-        )
+        left.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count("*").alias("_n"))
+        .filter(F.col("_n") >= rows_per_piece)
+        .orderBy(F.desc("_n"), key)
+        .limit(MAX_HOT_KEYS)
+        .select(key, F.ceil(F.col("_n") / rows_per_piece).alias("_pieces"))
     )
+    pieces = F.coalesce("_pieces", F.lit(1).cast("long"))
     row_hash = F.xxhash64(row_id)
     spread = (
         left.join(hot, key, "left")
-        .withColumn(
-            "_piece",
-            F.when(F.col(key).isNull(), row_hash).otherwise(F.pmod(row_hash, F.coalesce("_pieces", F.lit(1)))),
-        )
+        .withColumn("_piece", F.when(F.col(key).isNull(), row_hash).otherwise(F.pmod(row_hash, pieces)))
         .drop("_pieces")
     )
     repeated = (
         right.join(hot, key, "left")
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), (F.coalesce("_pieces", F.lit(1)) - 1).cast("long"))))
+        .withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)))
         .drop("_pieces")
     )
     return spread.join(repeated, [key, "_piece"], "left").drop("_piece")
 
 
+def page_flags_for_sites(sites: DataFrame, pages: DataFrame) -> DataFrame:
+    """Add ``page_blank`` and ``page_error`` of each site's ``fetch_url``, NULL where nothing was crawled.
+
+    The page of smallest id stands for its URL. The flags are a few bytes, so pages are read once and reduced
+    to one row per URL before the shuffle.
+    """
+    flags = F.min_by(F.struct("page_blank", "page_error"), "page_id")
+    per_url = pages.groupBy(F.col("page_url").alias("fetch_url")).agg(flags.alias("_flags"))
+    return sites.join(per_url, "fetch_url", "left").select(*sites.columns, "_flags.page_blank", "_flags.page_error")
+
+
 def page_for_sites(sites: DataFrame, pages: DataFrame) -> DataFrame:
-    """Add the page columns of each site's ``fetch_url``; NULL ``page_id`` where nothing was crawled.
+    """Add the page columns, texts included, of each site's ``fetch_url``; NULL where nothing was crawled.
 
-    ``pages`` holds ``page_id``, ``page_url`` and what the caller wants of a page. The page of smallest id
-    stands for its URL. It is chosen on the two slim columns, and only then is the rest of the row read and
-    shuffled, once, by the unique ``page_id``.
+    The page of smallest id stands for its URL. It is chosen on two slim columns, and only then is the rest
+    of the row read and shuffled, once, by the unique ``page_id``.
     """
     chosen = pages.groupBy("page_url").agg(F.min("page_id").alias("page_id"))
     located = sites.join(chosen, F.col("fetch_url") == F.col("page_url"), "left").drop("page_url")

@@ -10,7 +10,7 @@ from sievework.functions.answers import with_decoded, without_answer
 from sievework.functions.stages import WEBSITE, Stage
 from sievework.operators.cache import cache_hits, cache_misses, combined, latest_entries, payload_columns
 from sievework.operators.distinct import distinct_sites
-from sievework.operators.lookup import answer_for_keys, page_for_sites
+from sievework.operators.lookup import answer_for_keys, page_flags_for_sites, page_for_sites
 from sievework.operators.requests import website_requests
 
 
@@ -27,9 +27,8 @@ def evaluate_sites(sites: DataFrame, pages: DataFrame, answers: DataFrame) -> Da
 
     Only the page's flags are needed here, so no text is shuffled.
     """
-    flags = pages.select("page_id", "page_url", "page_blank", "page_error")
     slim = sites.select("site", "cache_key", "fetch_url")
-    decoded = with_decoded(answer_for_keys(page_for_sites(slim, flags), answers), WEBSITE)
+    decoded = with_decoded(answer_for_keys(page_flags_for_sites(slim, pages), answers), WEBSITE)
     fault = (
         F.when(F.col("page_error").isNotNull(), F.col("page_error"))
         .when(F.coalesce("page_blank", F.lit(True)), errors.EMPTY_PAGE)
