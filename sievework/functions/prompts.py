@@ -143,9 +143,13 @@ PERSON_REQUEST = Template(PERSON_SYSTEM, PERSON_USER)
 
 def filled(template: str, slots: dict[str, Column]) -> Column:
     """The template with each ``{slot}`` replaced by a column; ``{{`` and ``}}`` are literal braces."""
-    pieces = re.split(r"\{(\w+)\}", template.replace("{{", "\x00").replace("}}", "\x01"))
-    columns = [
-        slots[piece] if i % 2 else F.lit(piece.replace("\x00", "{").replace("\x01", "}"))
-        for i, piece in enumerate(pieces)
-    ]
+    columns = []
+    for token in re.split(r"(\{\{|\}\}|\{\w+\})", template):
+        name = token[1:-1]
+        if token in ("{{", "}}"):
+            columns.append(F.lit(token[0]))
+        elif re.fullmatch(r"\{\w+\}", token):
+            columns.append(slots[name])
+        else:
+            columns.append(F.lit(token))
     return F.concat(*columns)
