@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions.keys import cache_key
 from sievework.functions.stages import WEBSITE
-from sievework.operators.cache import cache_entries, combined
+from sievework.operators.cache import cache_entries
 from sievework.plans.qualify import prepared
 from sievework.plans.website import website_results
 from sievework.sources.tables import answers_from_replies, page_texts, profiles_from_responses
@@ -155,13 +155,14 @@ def person_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def website_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cache after two earlier runs: one over a market segment, a later one over that and another."""
-    everyone = contacts(spark, sf_dir)
-    runs = []
-    for day, segments in (("2024-01-01", ["BUILDING"]), ("2024-02-01", ["BUILDING", "MACHINERY"])):
-        ready = prepared(everyone.filter(F.col("segment").isin(segments)))
-        results = website_results(ready, prepared_pages(spark, sf_dir), website_answers(spark, sf_dir))
-        runs.append(cache_entries(results, WEBSITE, F.lit(day).cast("timestamp")))
-    return combined(*runs)
+    ready = prepared(contacts(spark, sf_dir))
+    results = website_results(ready, prepared_pages(spark, sf_dir), website_answers(spark, sf_dir))
+    segment = F.col("segment")
+    dates = F.when(segment == "BUILDING", F.array(F.lit("2024-01-01"), F.lit("2024-02-01"))).when(
+        segment == "MACHINERY", F.array(F.lit("2024-02-01"))
+    )
+    sites = ready.filter(F.col("site").isNotNull()).select("site", F.explode(dates).alias("day")).distinct()
+    return cache_entries(results.join(sites, "site"), WEBSITE, F.col("day").cast("timestamp"))
 
 
 def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:

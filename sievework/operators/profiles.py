@@ -20,14 +20,13 @@ PROFILE_FIELDS = (
 MAX_EXPERIENCE = 10
 
 
-def found_person(response: Column) -> Column:
-    """The person under a response's ``data``; NULL if absent or empty."""
-    person = F.try_variant_get(response, "$.data", "variant")
-    return F.when(F.coalesce(F.to_json(person), F.lit("null")).isin(*_EMPTY), None).otherwise(person)
+# JSON texts that count as no profile.
+_EMPTY = r'^\s*(?:null|\{\s*\}|\[\s*\]|""|false|0)?\s*$'
 
 
-# JSON values that count as no profile.
-_EMPTY = ("null", "{}", "[]", '""', "false", "0")
+def found_person(data: Column) -> Column:
+    """The person in the JSON text of a response's data, as VARIANT; NULL if it is absent, empty or no JSON."""
+    return F.when(~data.rlike(_EMPTY), F.try_parse_json(data))
 
 
 def trimmed_profile(person: Column) -> Column:

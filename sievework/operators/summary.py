@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.errors import error_kind
@@ -59,11 +59,9 @@ def tier_scorecard(scored: DataFrame) -> DataFrame:
     rows = [(i, t, TIER_LABELS[t]) for i, t in enumerate(TIERS, start=1)]
     tiers = spark.createDataFrame(rows, "position int, lead_tier string, label string")
     counts = scored.groupBy("lead_tier").agg(F.count("*").alias("n"))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
-    # At most five rows on either side.
-    card = tiers.join(F.broadcast(counts), "lead_tier", "left").select(
-        "position", "lead_tier", "label", F.coalesce("n", F.lit(0)).alias("n"), total.alias("total")
-    )
+    # Five rows on the left, at most five on the right, and five in the window.
+    card = tiers.join(F.broadcast(counts), "lead_tier", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    card = card.withColumn("total", F.sum("n").over(Window.partitionBy()))
     share = F.coalesce(F.try_divide(F.col("n"), F.col("total")) * 100, F.lit(0.0))
     return card.select("position", "lead_tier", "label", "n", to_fixed(share, 1).alias("pct")).orderBy("position")
 

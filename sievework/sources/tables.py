@@ -61,10 +61,9 @@ def profiles_from_responses(responses: DataFrame, data: str) -> DataFrame:
     failure = F.col("lookup_error") if "lookup_error" in responses.columns else F.lit(None).cast("string")
     # Copies are reduced on the text, which can be compared.
     slim = responses.select(normal_url(F.col("profile_url")).alias("profile_url"), body.alias("_text"), failure.alias("_failure"))
-    wrapped = F.try_parse_json(F.concat(F.lit('{"data":'), F.col("_text"), F.lit("}")))
     return one_per_key(slim, "profile_url", "_text", "_failure").select(
         "profile_url",
-        found_person(wrapped).alias("person"),
+        found_person(F.col("_text")).alias("person"),
         F.when(F.col("_text").isNull(), prefixed(PROFILE_ERROR, F.col("_failure"))).alias("profile_error"),
     )
 
