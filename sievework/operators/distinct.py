@@ -20,7 +20,7 @@ def distinct_sites(contacts: DataFrame) -> DataFrame:
     return (
         contacts.filter(F.col("site").isNotNull())
         .groupBy("site")
-        .agg(first.alias("first"), F.min("contact_id").alias("first_contact_id"))
+        .agg(first.alias("first"), F.min("contact_id").alias("first_contact_id"), F.count("*").alias("n_contacts"))
         .select(
             "site",
             cache_key(F.lit("s1"), F.col("site")).alias("cache_key"),
@@ -28,6 +28,7 @@ def distinct_sites(contacts: DataFrame) -> DataFrame:
             F.col("first.company").alias("company"),
             with_scheme(strip(F.col("first.website"))).alias("url"),
             "first_contact_id",
+            "n_contacts",
         )
     )
 
@@ -38,8 +39,8 @@ def distinct_profiles(contacts: DataFrame) -> DataFrame:
     return (
         contacts.filter(F.col("profile").isNotNull())
         .groupBy("profile")
-        .agg(first.alias("name"), F.min("contact_id").alias("first_contact_id"))
-        .select("profile", cache_key(F.lit("s2"), F.col("profile")).alias("cache_key"), "name", "first_contact_id")
+        .agg(first.alias("name"), F.min("contact_id").alias("first_contact_id"), F.count("*").alias("n_contacts"))
+        .select("profile", cache_key(F.lit("s2"), F.col("profile")).alias("cache_key"), "name", "first_contact_id", "n_contacts")
     )
 
 

@@ -11,25 +11,33 @@ ROWS_PER_PIECE = 1_000_000
 MAX_HOT_KEYS = 1000
 
 
+def key_counts(left: DataFrame, key: str) -> DataFrame:
+    """Rows per key, as ``key, n``."""
+    return left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+
+
 def spread_left_join(
-    left: DataFrame, right: DataFrame, key: str, row_id: str, rows_per_piece: int = ROWS_PER_PIECE
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    row_id: str,
+    counts: DataFrame | None = None,
+    rows_per_piece: int = ROWS_PER_PIECE,
 ) -> DataFrame:
     """``left`` LEFT JOIN ``right`` on ``key``, with hot keys of ``left`` spread over many tasks.
 
     The largest keys are cut into pieces: left rows take a piece by their ``row_id``, right rows are repeated
-    once per piece. Which keys those are comes from exact counts over the key column in a fixed order, so
-    both sides always agree on it, and the list is broadcast because it cannot exceed ``MAX_HOT_KEYS`` rows.
-    It steers the work only: all rows of all keys are joined either way. Rows without a key, which match
-    nothing, are spread by their id too.
+    once per piece. Which keys those are comes from exact ``counts`` of the left side (``key, n``; counted
+    here if not given) in a fixed order, so both sides always agree on it, and the list is broadcast because
+    it cannot exceed ``MAX_HOT_KEYS`` rows. It steers the work only: all rows of all keys are joined either
+    way. Rows without a key, which match nothing, are spread by their id too.
     """
     hot = F.broadcast(
-        left.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") >= rows_per_piece)
-        .orderBy(F.desc("_n"), key)
+        (key_counts(left, key) if counts is None else counts)
+        .filter(F.col("n") >= rows_per_piece)
+        .orderBy(F.desc("n"), key)
         .limit(MAX_HOT_KEYS)
-        .select(key, F.ceil(F.col("_n") / rows_per_piece).alias("_pieces"))
+        .select(key, F.ceil(F.col("n") / rows_per_piece).alias("_pieces"))
     )
     pieces = F.coalesce("_pieces", F.lit(1).cast("long"))
     row_hash = F.xxhash64(row_id)

@@ -10,9 +10,14 @@ from sievework.functions.stages import Stage
 from sievework.operators.lookup import spread_left_join
 
 
-def merge_stage_results(contacts: DataFrame, results: DataFrame, stage: Stage, key: str) -> DataFrame:
-    """Left-join a stage's columns to contacts by ``key``; contacts without a result get NULLs."""
-    return spread_left_join(contacts, results.select(key, *stage.result_columns), key, "contact_id")
+def merge_stage_results(
+    contacts: DataFrame, results: DataFrame, stage: Stage, key: str, counts: DataFrame | None = None
+) -> DataFrame:
+    """Left-join a stage's columns to contacts by ``key``; contacts without a result get NULLs.
+
+    ``counts`` (``key, n``) saves counting the contacts per key again.
+    """
+    return spread_left_join(contacts, results.select(key, *stage.result_columns), key, "contact_id", counts)
 
 
 def fill_missing_stage(merged: DataFrame, stage: Stage, key: str, error: str) -> DataFrame:

@@ -24,7 +24,7 @@ from sievework.operators.contacts import (
 from sievework.operators.distinct import distinct_sites
 from sievework.operators.stage_results import fill_missing_stage, merge_stage_results
 from sievework.operators.summary import run_summary
-from sievework.plans.website import evaluate_sites, pending_website_requests, website_results
+from sievework.plans.website import evaluate_sites, requests_for_sites, website_results
 from sievework.sinks.cache import append_entries
 from sievework.sinks.results import write_requests, write_results, write_results_csv
 from sievework.sources.tables import read_cache
@@ -39,9 +39,10 @@ def prepared(contacts: DataFrame) -> DataFrame:
     return with_lookup_keys(kept(add_optional_columns(checked)))
 
 
-def scored(contacts: DataFrame, results: DataFrame, qualified_at: Column) -> DataFrame:
+def scored(contacts: DataFrame, results: DataFrame, qualified_at: Column, counts: DataFrame | None = None) -> DataFrame:
     """Join results back to prepared contacts, score them and stamp the run time."""
-    merged = fill_missing_stage(merge_stage_results(contacts, results, WEBSITE, "site"), WEBSITE, "site", errors.NO_WEBSITE)
+    joined = merge_stage_results(contacts, results, WEBSITE, "site", counts)
+    merged = fill_missing_stage(joined, WEBSITE, "site", errors.NO_WEBSITE)
     return with_scores(merged.drop("site", "profile")).withColumn("qualified_at", qualified_at)
 
 
@@ -94,10 +95,10 @@ def run(
 ) -> dict:
     """Qualify stored ``contacts`` and write every table of the run; returns the summary.
 
-    Tables: ``skipped``, ``site_results``, ``requests``, ``qualified`` (and ``qualified_csv``), each below
-    ``paths.root`` with the suffix ``part``; fresh results are added to the cache. Each step reads what the
-    one before has written, so a lost executor costs tasks, not the run, and repeating a run overwrites its
-    own tables and cache partition only.
+    Tables: ``skipped``, ``sites``, ``site_results``, ``requests``, ``qualified`` (and ``qualified_csv``),
+    each below ``paths.root`` with the suffix ``part``; fresh results are added to the cache. Each step reads
+    what the one before has written, so a lost executor costs tasks, not the run, and repeating a run
+    overwrites its own tables and cache partition only.
     """
     spark = contacts.sparkSession
     ready = prepared(contacts)
@@ -108,16 +109,18 @@ def run(
     # What other runs have cached; this run's own entries are left out so that repeating it starts afresh.
     cache = read_cache(spark, paths.cache, WEBSITE).filter(F.col("run_id") != run_id)
     latest = latest_entries(cache, WEBSITE)
-    sites = distinct_sites(ready).select("site", "cache_key", "fetch_url")
-    fresh = evaluate_sites(cache_misses(sites, latest, retry_errors), pages, answers)
-    write_results(fresh, paths.of("site_results", part))
+    write_results(distinct_sites(ready), paths.of("sites", part))
+    sites = spark.read.parquet(paths.of("sites", part))
+    misses = cache_misses(sites, latest, retry_errors)
+    write_results(evaluate_sites(misses, pages, answers), paths.of("site_results", part))
     stored = spark.read.parquet(paths.of("site_results", part))
-    write_requests(pending_website_requests(ready, pages, answers, cache, retry_errors), paths.of("requests", part))
+    write_requests(requests_for_sites(misses, pages, answers), paths.of("requests", part))
 
-    hits = cache_hits(sites, latest, WEBSITE, retry_errors).drop("fetch_url")
+    hits = cache_hits(sites.select("site", "cache_key"), latest, WEBSITE, retry_errors)
     results = combined(hits, stored)
+    counts = sites.select("site", F.col("n_contacts").alias("n"))
     observed = Observation()
-    stamped = scored(ready, results, F.lit(run_time)).observe(
+    stamped = scored(ready, results, F.lit(run_time), counts).observe(
         observed, F.count_if(F.col(WEBSITE.error_column) != errors.NO_WEBSITE).alias("processed")
     )
     write_results(_in_order(stamped, contacts), paths.of("qualified", part))

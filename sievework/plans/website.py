@@ -58,10 +58,15 @@ def website_results(
 def pending_website_requests(
     contacts: DataFrame, pages: DataFrame, answers: DataFrame, cache: DataFrame | None = None, retry_errors: bool = False
 ) -> DataFrame:
-    """Requests for the sites with page text that neither the cache nor the answers cover."""
+    """Requests for the sites of contacts that neither the cache nor the answers cover."""
     sites = distinct_sites(contacts)
     if cache is not None:
         sites = cache_misses(sites, latest_entries(cache, WEBSITE), retry_errors)
+    return requests_for_sites(sites, pages, answers)
+
+
+def requests_for_sites(sites: DataFrame, pages: DataFrame, answers: DataFrame) -> DataFrame:
+    """Requests for the sites that have page text and no answer."""
     replied = answers.filter(F.col("raw_answer").isNotNull()).select(F.col("answer_key").alias("cache_key"))
     open_sites = sites.join(replied, "cache_key", "left_anti")
     texts = page_for_sites(open_sites, pages).filter(~F.col("page_blank") & F.col("page_error").isNull())

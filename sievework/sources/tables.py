@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievework.functions.errors import API_ERROR, FETCH_ERROR, PROFILE_ERROR, prefixed
-from sievework.functions.html import rendered_or_static, with_page_text
+from sievework.functions.html import MIN_STATIC_CHARS, rendered_or_static, with_page_text
 from sievework.functions.keys import fetch_url, normal_url
 from sievework.functions.stages import Stage
 from sievework.functions.text import is_blank
@@ -26,7 +26,9 @@ def page_texts(pages: DataFrame) -> DataFrame:
     texts = with_page_text(pages, "html", "_static")
     rendered = None
     if "rendered_html" in pages.columns:
-        texts = with_page_text(texts, "rendered_html", "_rendered")
+        # Rendered pages are only looked into where they are needed.
+        needed = F.when(F.length(F.coalesce("_static", F.lit(""))) < MIN_STATIC_CHARS, F.col("rendered_html"))
+        texts = with_page_text(texts.withColumn("_needed", needed), "_needed", "_rendered")
         rendered = F.col("_rendered")
     error = prefixed(FETCH_ERROR, F.col("fetch_error")) if "fetch_error" in pages.columns else F.lit(None).cast("string")
     text = F.coalesce(rendered_or_static(F.col("_static"), rendered), F.lit(""))

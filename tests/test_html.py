@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievework.functions.html import MAX_CHARS, rendered_or_static, visible_text, with_page_text
+from sievework.sources.tables import page_texts
 
 CASES = {
     "inline tags split words": ("<p>pay<b>ment</b></p>", "pay ment"),
@@ -101,3 +102,10 @@ def test_rendered_text(spark):
     assert chosen == ["r", "x" * 200, "", ""]
     kept = [r[0] for r in df.select(rendered_or_static(F.col("s"), None)).collect()]
     assert kept[3] == "short"
+
+
+def test_rendered_pages_are_used_where_the_static_text_is_short(spark):
+    rows = [(1, "a.com", "<p>short</p>", "<p>rendered</p>"), (2, "b.com", "x" * 200, "<p>rendered</p>"), (3, "c.com", None, "<p>only</p>"), (4, "d.com", "", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, rendered_html string")
+    found = {r["page_id"]: (r["page_text"], r["page_blank"]) for r in page_texts(pages).collect()}
+    assert found == {1: ("rendered", False), 2: ("x" * 200, False), 3: ("only", False), 4: ("", True)}
