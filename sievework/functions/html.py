@@ -41,7 +41,7 @@ NATIVE_ENTITIES = (
 )
 
 _UNSEEN = DROPPED_ELEMENTS + HIDDEN_ELEMENTS
-# Alternations are factored so that a matcher has to look closer at '<' (and '=') only.
+# Patterns start with one plain character, so that a matcher has to look closer at '<', '=' or '&' only.
 _BLOCKS = "|".join(rf"{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in _UNSEEN)
 # One alternation, so that whichever construct starts first wins, as in a parser.
 _REMOVED = rf"(?is)<(?:!--.*?-->|{_BLOCKS})"
@@ -51,10 +51,8 @@ _TAG = r"<[^>]*>"
 # a leftover tag of a removed element or an unclosed comment, a '<' that starts no tag, a CDATA section,
 # an empty end tag (which separates nothing), a tag cut off by the end of the text, a '>' inside a quoted
 # attribute.
-_IRREGULAR_MARKUP = (
-    rf"(?is)<(?:/?(?:{'|'.join(_UNSEEN)})(?![a-z0-9:_.-])|!--|!\[|/>|(?![a-z/!?])|[^>]*$)"
-    r"""|=(?:"[^"<]*>[^"]*"|'[^'<]*>[^']*')"""
-)
+_IRREGULAR_TAG = rf"(?is)<(?:/?(?:{'|'.join(_UNSEEN)})(?![a-z0-9:_.-])|!--|!\[|/>|(?![a-z/!?])|[^>]*$)"
+_IRREGULAR_ATTRIBUTE = r"""=(?:"[^"<]*>[^"]*"|'[^'<]*>[^']*')"""
 # Comment ends on which parsers disagree, and self-closing tags of removed elements, which hold nothing.
 _IRREGULAR_REMOVAL = r"(?is)^<!--(?:-?>|.*--(?:!|\s+)>)|^<[a-z]+[^>]*/>"
 _IRREGULAR_ENTITY = rf"&(?!(?:{'|'.join(NATIVE_ENTITIES)});)[A-Za-z#]"
@@ -84,7 +82,8 @@ def with_page_text(pages: DataFrame, html: str = "html", out: str = "page_text")
         F.regexp_replace("_kept", _TAG, " ").alias("_bare"),
     )
     irregular = (
-        F.col("_kept").rlike(_IRREGULAR_MARKUP)
+        F.col("_kept").rlike(_IRREGULAR_TAG)
+        | F.col("_kept").rlike(_IRREGULAR_ATTRIBUTE)
         | F.col("_bare").rlike(_IRREGULAR_ENTITY)
         | F.exists("_removed", lambda part: part.rlike(_IRREGULAR_REMOVAL))
         | _misnested(F.col("_removed"))

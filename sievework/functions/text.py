@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 # The characters Python's str.strip() removes and its \s matches. Spark's trim() removes U+0020 only and
 # Java's \s is ASCII only. All of them are in the basic plane.
 WHITESPACE = "".join(chr(c) for c in range(0x10000) if chr(c).isspace())
-# Whitespace runs other than single spaces: those of two or more that start with a space, and those that start
-# otherwise. The first half of each class turns most characters away with one comparison.
-_OTHER = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_UNCOLLAPSED = rf" [[^!-\x84]&&[ {_OTHER}]]+|[[^ -\x84]&&[{_OTHER}]][ {_OTHER}]*"
+# All of them but the space. The first half turns most characters away with one comparison.
+_NOT_SPACE = (
+    r"[[^ -\x84]&&[\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+)
 
 
 def strip(text: Column) -> Column:
@@ -26,4 +26,4 @@ def is_blank(text: Column) -> Column:
 
 def collapse_whitespace(text: Column) -> Column:
     """Turn every run of whitespace into one space and strip the ends."""
-    return F.btrim(F.regexp_replace(text, _UNCOLLAPSED, " "))
+    return F.btrim(F.regexp_replace(F.regexp_replace(text, _NOT_SPACE, " "), "  +", " "))
