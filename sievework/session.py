@@ -15,8 +15,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Re-running a run_id or a micro-batch replaces only its own partition.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
