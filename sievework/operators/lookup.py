@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # A key with at least this many rows is cut into pieces of about this size.
 ROWS_PER_PIECE = 1_000_000
-# Keys that can be cut. Any other key holds less than 1 / MAX_HOT_KEYS of all rows.
-MAX_HOT_KEYS = 1000
+# Keys that can be cut: a list of at most some 10 MB. Any other key holds less than 1 / MAX_HOT_KEYS of all rows.
+MAX_HOT_KEYS = 100_000
 
 
 def key_counts(left: DataFrame, key: str) -> DataFrame:
