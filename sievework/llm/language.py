@@ -14,6 +14,7 @@ from sievework.llm.workers import per_worker
 DIMENSIONS = 1024
 ORDER = 3
 ROWS_PER_LANGUAGE = 4_000
+LEAST = 0.12  # a filter rejects what is less like any language
 UNKNOWN = "und"
 SEED = 7
 _TEXTS_AT_ONCE = 128
@@ -144,21 +145,44 @@ def identify(
     names, prototypes = learned(docs if train is None else train, order, dimensions, rows_per_language, seed)
 
     def predicted(batches):
-        for whole in batches:
-            for low in range(0, whole.num_rows, _TEXTS_AT_ONCE):
-                batch = whole.slice(low, _TEXTS_AT_ONCE)
-                found, known = bundles(batch["text"].to_pylist(), order, dimensions, seed)
-                lengths = np.linalg.norm(found, axis=1)
-                known &= (lengths > 0) & bool(names)
-                best, score = np.zeros(len(found), int), np.zeros(len(found))
-                if names:
-                    cosines = found @ prototypes.T / np.maximum(lengths, 1e-9)[:, None]
-                    best, score = cosines.argmax(1), np.clip(cosines.max(1).astype(float), 0, 1)
-                langs = [names[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), known.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"], batch["held_out"], pa.array(langs, pa.string()), pa.array(np.where(known, score, 0.0))],
-                    ["doc_id", "held_out", "lang_pred", "score"],
-                )
+        for batch in batches:
+            langs, scores = _predicted(batch["text"], names, prototypes, order, dimensions, seed)
+            columns = [batch["doc_id"], batch["held_out"], pa.array(langs, pa.string()), pa.array(scores)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out(F.col("doc_id")).alias("held_out"))
     return rows.mapInArrow(predicted, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def _predicted(texts: pa.Array, names: list[str], prototypes: np.ndarray, order: int, dimensions: int, seed: int) -> tuple[list[str], np.ndarray]:
+    langs, scores = [], [np.empty(0)]
+    for low in range(0, len(texts), _TEXTS_AT_ONCE):
+        found, known = bundles(texts.slice(low, _TEXTS_AT_ONCE).to_pylist(), order, dimensions, seed)
+        lengths = np.linalg.norm(found, axis=1)
+        known &= (lengths > 0) & bool(names)
+        best, score = np.zeros(len(found), int), np.zeros(len(found))
+        if names:
+            cosines = found @ prototypes.T / np.maximum(lengths, 1e-9)[:, None]
+            best, score = cosines.argmax(1), np.clip(cosines.max(1).astype(float), 0, 1)
+        langs += [names[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), known.tolist(), strict=True)]
+        scores.append(np.where(known, score, 0.0))
+    return langs, np.concatenate(scores)
+
+
+def known_documents(
+    docs: DataFrame,
+    least: float = LEAST,
+    order: int = ORDER,
+    dimensions: int = DIMENSIONS,
+    rows_per_language: int = ROWS_PER_LANGUAGE,
+    seed: int = SEED,
+) -> DataFrame:
+    """The rows of ``docs`` in a learned language, with all their columns: not ``und``, and with a score of ``least`` or more."""
+    names, prototypes = learned(docs, order, dimensions, rows_per_language, seed)
+
+    def kept(batches):
+        for batch in batches:
+            langs, scores = _predicted(batch["text"], names, prototypes, order, dimensions, seed)
+            yield batch.filter(pa.array([k != UNKNOWN and x >= least for k, x in zip(langs, scores.tolist(), strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)
