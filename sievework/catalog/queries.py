@@ -27,7 +27,7 @@ from sievework.operators.requests import answers_from_rubric
 from sievework.operators.stage_results import default_rows
 from sievework.plans.person import pending_person_requests, person_results, with_person_stage
 from sievework.plans.qualify import checkpoint_snapshot, prepared, qualify
-from sievework.plans.website import pending_website_requests, website_results
+from sievework.plans.website import open_sites, pages_of, requests_for_sites, website_results
 from sievework.session import configure
 from sievework.sinks.results import csv_values
 from sievework.sources.contacts import normalise_columns
@@ -143,8 +143,10 @@ def answer_lookup(spark, sf_dir):
 
 @query
 def website_requests(spark, sf_dir):
-    ready = prepared(fx.contacts(spark, sf_dir))
-    return pending_website_requests(ready, fx.prepared_pages(spark, sf_dir), fx.website_answers(spark, sf_dir))
+    sites = distinct_sites(prepared(fx.contacts(spark, sf_dir)))
+    answers = fx.website_answers(spark, sf_dir)
+    pages = pages_of(open_sites(sites, answers), fx.table(spark, sf_dir, "pages"))
+    return requests_for_sites(sites, page_texts(pages), answers)
 
 
 @query
@@ -212,7 +214,7 @@ def rubric_evidence(spark, sf_dir):
 
 @query
 def rubric_leads(spark, sf_dir):
-    contacts, pages = fx.contacts(spark, sf_dir), fx.prepared_pages(spark, sf_dir)
+    contacts, pages = fx.contacts(spark, sf_dir), page_texts(fx.table(spark, sf_dir, "pages"), max_chars=None)
     texts = pages.select(cache_key(F.lit("s1"), F.col("page_url")).alias("cache_key"), "page_text")
     answers = answers_from_replies(answers_from_rubric(texts, "page_text", WEBSITE_RULES, WEBSITE))
     return qualify(contacts, pages, answers, fx.run_time()).select("contact_id", "s1_score", "s1_error", "lead_tier")

@@ -17,23 +17,36 @@ MAX_REASONING = 300
 MAX_TITLE = 200
 
 
+def _guarded(text: Column) -> tuple[Column, Column]:
+    """The reply in an array closed by its own hash, which it cannot contain, and the hash.
+
+    try_parse_json stops at the end of the first value; so anything but exactly one value before the hash is noticed.
+    """
+    guard = F.sha2(text, 256)
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), guard, F.lit('"]'))), guard
+
+
+def _is_whole(reply: Column, guard: Column) -> Column:
+    second = F.try_variant_get(reply, "$[1]", "string")
+    return F.coalesce((second == guard) & F.try_variant_get(reply, "$[2]", "variant").isNull(), F.lit(False))
+
+
+def decodable(raw: Column) -> Column:
+    """Whether a reply is exactly one JSON object."""
+    reply, guard = _guarded(strip(raw))
+    kind = F.schema_of_variant(F.try_variant_get(reply, "$[0]", "variant"))
+    return _is_whole(reply, guard) & F.coalesce(kind.startswith("OBJECT"), F.lit(False))
+
+
 def with_decoded(df: DataFrame, stage: Stage, raw: str = "raw_answer") -> DataFrame:
     """Replace ``raw`` by the stage's question columns, texts, score and decoding error.
 
     The error is '' for a decoded reply and NULL raw text gives NULL everywhere.
     """
     others = [F.col(c) for c in df.columns if c != raw]
-    # try_parse_json stops at the end of the first value. The reply is wrapped into an array closed by its
-    # own hash, which it cannot contain, so anything but exactly one value before the hash is noticed.
-    text = strip(F.col(raw))
-    guard = F.sha2(text, 256)
-    staged = df.select(
-        *others,
-        guard.alias("_guard"),
-        F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), guard, F.lit('"]'))).alias("_reply"),
-    )
-    second = F.try_variant_get("_reply", "$[1]", "string")
-    whole = F.coalesce((second == F.col("_guard")) & F.try_variant_get("_reply", "$[2]", "variant").isNull(), F.lit(False))
+    reply, guard = _guarded(strip(F.col(raw)))
+    staged = df.select(*others, guard.alias("_guard"), reply.alias("_reply"))
+    whole = _is_whole(F.col("_reply"), F.col("_guard"))
     value = F.try_variant_get("_reply", "$[0]", "variant")
     staged = staged.select(
         *others,

@@ -1,7 +1,7 @@
 """HTML to text.
 
 The text of a page is every text node outside comments and a few dropped elements, joined by single spaces,
-cut to ``MAX_CHARS``. Regular markup is handled by native expressions. Markup on which a regular expression
+cut to a given length. Regular markup is handled by native expressions. Markup on which a regular expression
 cannot follow an HTML parser (unclosed or misnested dropped elements, ``>`` inside attributes, rare entities
 ...) is recognised by native tests and only those pages are sent to Python workers; all other rows cross
 over as NULL, so a table is scanned once and the Python cost follows the number of irregular pages.
@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from sievework.functions.text import collapse_whitespace
 
+# What a request holds of a page, unless the caller says otherwise.
 MAX_CHARS = 8000
 MIN_STATIC_CHARS = 200
 
@@ -66,35 +67,53 @@ _CHILDLESS = (
 _INNERMOST = r"(?is)<([a-z][a-z0-9-]*)(?:\s[^<>]*)?>[^<]*</\1\s*>"
 _NESTING_LEVELS = 12
 
+# Tags of removed elements and comment signs, in order. Where they do not pair up, a search for an end would run to
+# the end of the page from every beginning; such pages go to the parser before anything is searched.
+_ENDS = rf"(?i)<!--|-->|</?(?:{'|'.join(_UNSEEN)})(?=[\s/>])"
+_PAIR = rf"<!---->|<({'|'.join(_UNSEEN)})</\1"
+_PAIRED_LEVELS = 5
+# A tag that another one interrupts, or the end of the text; checked without looking further than the next sign.
+_OPEN_ANGLE = r"<[^<>]*(?:<|$)"
 
-def with_page_text(pages: DataFrame, html: str = "html", out: str = "page_text") -> DataFrame:
-    """Add ``out``, the visible text of ``html``; NULL html gives NULL."""
+
+def with_page_text(pages: DataFrame, html: str = "html", out: str = "page_text", max_chars: int | None = MAX_CHARS) -> DataFrame:
+    """Add ``out``, the first ``max_chars`` characters (None: all) of the visible text of ``html``; NULL html gives NULL."""
     kept_columns = [F.col(c) for c in pages.columns]
+    even = F.when(_paired(F.col(html)), F.col(html))
     staged = pages.select(
         *kept_columns,
-        F.regexp_replace(F.col(html), _REMOVED, " ").alias("_kept"),
-        F.regexp_extract_all(F.col(html), F.lit(_REMOVED), F.lit(0)).alias("_removed"),
+        F.regexp_replace(even, _REMOVED, " ").alias("_kept"),
+        F.regexp_extract_all(even, F.lit(_REMOVED), F.lit(0)).alias("_removed"),
     )
     staged = staged.select(
         *kept_columns,
         "_kept",
         "_removed",
-        F.regexp_replace("_kept", _TAG, " ").alias("_bare"),
+        F.regexp_replace(F.when(~F.col("_kept").rlike(_OPEN_ANGLE), F.col("_kept")), _TAG, " ").alias("_bare"),
     )
-    irregular = (
+    irregular = F.when(F.col("_kept").isNull() | F.col("_kept").rlike(_OPEN_ANGLE), True).otherwise(
         F.col("_kept").rlike(_IRREGULAR_TAG)
         | F.col("_kept").rlike(_IRREGULAR_ATTRIBUTE)
         | F.col("_bare").rlike(_IRREGULAR_ENTITY)
         | F.exists("_removed", lambda part: part.rlike(_IRREGULAR_REMOVAL))
         | _misnested(F.col("_removed"))
     )
-    native = F.left(collapse_whitespace(_decode_entities(F.col("_bare"))), F.lit(MAX_CHARS))
+    native = collapse_whitespace(_decode_entities(F.col("_bare")))
     staged = staged.select(
         *kept_columns,
         F.when(irregular, F.col(html)).alias("_irregular"),
         native.alias("_native"),
     )
-    return staged.select(*kept_columns, F.coalesce(parsed_text("_irregular"), "_native").alias(out))
+    text = F.coalesce(parsed_text("_irregular"), "_native")
+    return staged.select(*kept_columns, (text if max_chars is None else F.left(text, F.lit(max_chars))).alias(out))
+
+
+def _paired(html: Column) -> Column:
+    """Whether every tag of a removed element and every comment sign has its counterpart, a few levels deep."""
+    ends = F.lower(F.array_join(F.regexp_extract_all(html, F.lit(_ENDS), F.lit(0)), ""))
+    for _ in range(_PAIRED_LEVELS):
+        ends = F.regexp_replace(ends, _PAIR, "")
+    return ends == ""
 
 
 def _misnested(removed: Column) -> Column:
@@ -115,7 +134,7 @@ def _decode_entities(text: Column) -> Column:
 
 
 @F.pandas_udf(T.StringType())
-def parsed_text(html: pd.Series) -> pd.Series:
+def _parsed_text(html: pd.Series) -> pd.Series:
     """The visible text by a real parser, for the rows that carry markup; NULL elsewhere."""
     result = pd.Series([None] * len(html), index=html.index, dtype=object)
     present = html.notna()
@@ -124,12 +143,16 @@ def parsed_text(html: pd.Series) -> pd.Series:
     return result
 
 
+# A filter on the text must not be moved below it and make it twice.
+parsed_text = _parsed_text.asNondeterministic()
+
+
 def visible_text(html: str) -> str:
     """Text of one page of any shape."""
     collector = _TextCollector()
     collector.feed(html)
     collector.close()
-    return " ".join(collector.text().split())[:MAX_CHARS]
+    return " ".join(collector.text().split())
 
 
 class _TextCollector(HTMLParser):

@@ -33,7 +33,7 @@ def cache_entries(results: DataFrame, stage: Stage, written_at: Column) -> DataF
 
 
 def latest_entries(cache: DataFrame, stage: Stage) -> DataFrame:
-    """The newest row per key of one stage; ties go to the row without an error, then to the smaller result."""
+    """The newest row per key of one stage; ties go to the row without an error, then to a hash."""
     newest = F.max_by(
         F.struct("result", "error", "written_at"),
         F.struct("written_at", (F.col("error") == "").alias("clean"), F.xxhash64(F.to_json("result")).alias("tie")),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.keys import cache_key, with_scheme
@@ -44,6 +44,8 @@ def distinct_profiles(contacts: DataFrame) -> DataFrame:
     )
 
 
-def one_per_key(df: DataFrame, key: str, *values: str) -> DataFrame:
-    """Guard against copies: the smallest non-NULL of each value per ``key``, combined before the shuffle."""
-    return df.groupBy(key).agg(*[F.min(v).alias(v) for v in values])
+def best_per_key(df: DataFrame, key: str, values: list[str], rank: list[Column]) -> DataFrame:
+    """The ``values`` of the row of greatest ``rank`` per ``key`` (NULL ranks lowest), ties by hash; combined before the shuffle."""
+    tie = F.xxhash64(*values)
+    best = F.max_by(F.struct(*values), F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank)], tie.alias("tie")))
+    return df.groupBy(key).agg(best.alias("_best")).select(key, "_best.*")

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 # A key with at least this many rows is cut into pieces of about this size.
 ROWS_PER_PIECE = 1_000_000
-# Keys that can be cut: a list of at most some 10 MB. Any other key holds less than 1 / MAX_HOT_KEYS of all rows.
-MAX_HOT_KEYS = 100_000
 
 
 def key_counts(left: DataFrame, key: str) -> DataFrame:
@@ -26,30 +24,29 @@ def spread_left_join(
 ) -> DataFrame:
     """``left`` LEFT JOIN ``right`` on ``key``, with hot keys of ``left`` spread over many tasks.
 
-    The largest keys are cut into pieces: left rows take a piece by their ``row_id``, right rows are repeated
-    once per piece. Which keys those are comes from exact ``counts`` of the left side (``key, n``; counted
-    here if not given) in a fixed order, so both sides always agree on it, and the list is broadcast because
-    it cannot exceed ``MAX_HOT_KEYS`` rows. It steers the work only: all rows of all keys are joined either
-    way. Rows without a key, which match nothing, are spread by their id too.
+    Every key of at least ``rows_per_piece`` rows is cut into pieces: left rows take a piece by their ``row_id``,
+    right rows are repeated once per piece. Which keys those are comes from exact ``counts`` of the left side
+    (``key, n``; counted here if not given). The list holds hashes of keys, 16 bytes each; as each stands for
+    ``rows_per_piece`` rows, a trillion rows give a million entries at most, so it is broadcast. Keys that share a
+    hash are cut alike on both sides. Rows without a key, which match nothing, are spread by their id too.
     """
     hot = F.broadcast(
         (key_counts(left, key) if counts is None else counts)
         .filter(F.col("n") >= rows_per_piece)
-        .orderBy(F.desc("n"), key)
-        .limit(MAX_HOT_KEYS)
-        .select(key, F.ceil(F.col("n") / rows_per_piece).alias("_pieces"))
+        .groupBy(F.xxhash64(key).alias("_hash"))
+        .agg(F.max(F.ceil(F.col("n") / rows_per_piece)).alias("_pieces"))
     )
     pieces = F.coalesce("_pieces", F.lit(1).cast("long"))
     row_hash = F.xxhash64(row_id)
     spread = (
-        left.join(hot, key, "left")
+        left.withColumn("_hash", F.xxhash64(key)).join(hot, "_hash", "left")
         .withColumn("_piece", F.when(F.col(key).isNull(), row_hash).otherwise(F.pmod(row_hash, pieces)))
-        .drop("_pieces")
+        .drop("_pieces", "_hash")
     )
     repeated = (
-        right.join(hot, key, "left")
+        right.withColumn("_hash", F.xxhash64(key)).join(hot, "_hash", "left")
         .withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)))
-        .drop("_pieces")
+        .drop("_pieces", "_hash")
     )
     return spread.join(repeated, [key, "_piece"], "left").drop("_piece")
 

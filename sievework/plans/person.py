@@ -14,7 +14,7 @@ from sievework.operators.lookup import answer_for_keys, profile_for_people
 from sievework.operators.profiles import trimmed_profile
 from sievework.operators.requests import person_requests
 from sievework.operators.stage_results import fill_missing_stage, merge_stage_results
-from sievework.plans.website import with_faults
+from sievework.plans.website import replied_keys, with_faults
 
 
 def evaluate_people(people: DataFrame, profiles: DataFrame, answers: DataFrame) -> DataFrame:
@@ -48,15 +48,19 @@ def person_results(
     return combined(hits, evaluate_people(cache_misses(people, latest, retry_errors), profiles, answers))
 
 
-def pending_person_requests(contacts: DataFrame, profiles: DataFrame, answers: DataFrame) -> DataFrame:
-    """Requests for the found profiles without a reply."""
-    replied = answers.filter(F.col("raw_answer").isNotNull()).select(F.col("answer_key").alias("cache_key"))
-    people = distinct_profiles(contacts).join(replied, "cache_key", "left_anti")
+def pending_person_requests(contacts: DataFrame, profiles: DataFrame, answers: DataFrame, retry_errors: bool = False) -> DataFrame:
+    """Requests for the found profiles of contacts without a reply."""
+    return requests_for_people(distinct_profiles(contacts), profiles, answers, retry_errors)
+
+
+def requests_for_people(people: DataFrame, profiles: DataFrame, answers: DataFrame, retry_errors: bool = False) -> DataFrame:
+    """Requests for the found profiles without a reply; with ``retry_errors`` also for those whose reply can't be decoded."""
+    people = people.join(replied_keys(answers, retry_errors), "cache_key", "left_anti")
     found = profile_for_people(people, profiles).filter(F.col("person").isNotNull())
     return person_requests(found.withColumn("profile_json", trimmed_profile(F.col("person"))))
 
 
-def with_person_stage(contacts: DataFrame, results: DataFrame) -> DataFrame:
+def with_person_stage(contacts: DataFrame, results: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Contacts that carry lookup keys with the stage's columns."""
-    merged = merge_stage_results(contacts, results, PERSON, "profile")
+    merged = merge_stage_results(contacts, results, PERSON, "profile", counts)
     return fill_missing_stage(merged, PERSON, "profile", errors.NO_LINKEDIN_URL)

@@ -56,12 +56,19 @@ def qualify(
 ) -> DataFrame:
     """Contacts with website or profile URL, their website answers, score, tier and hot flag."""
     ready = prepared(contacts)
-    return _in_order(scored(ready, website_results(ready, pages, answers, cache, retry_errors), qualified_at), contacts)
+    results = website_results(ready, pages, answers, cache, retry_errors)
+    return _in_order(scored(ready, results, qualified_at, site_counts(distinct_sites(ready))), contacts)
+
+
+def site_counts(sites: DataFrame) -> DataFrame:
+    """Contacts per site, which the sites hold already."""
+    return sites.select("site", F.col("n_contacts").alias("n"))
 
 
 def checkpoint_snapshot(contacts: DataFrame, finished: DataFrame, qualified_at: Column) -> DataFrame:
     """The scored view of all contacts while only ``finished`` sites have results; others have NULL answers."""
-    merged = merge_stage_results(prepared(contacts), finished, WEBSITE, "site").drop("site", "profile")
+    ready = prepared(contacts)
+    merged = merge_stage_results(ready, finished, WEBSITE, "site", site_counts(distinct_sites(ready))).drop("site", "profile")
     return _in_order(with_scores(merged).withColumn("qualified_at", qualified_at), contacts)
 
 
@@ -95,8 +102,8 @@ def run(
 ) -> dict:
     """Qualify stored ``contacts`` and write every table of the run; returns the summary.
 
-    Tables: ``skipped``, ``sites``, ``site_results``, ``requests``, ``qualified`` (and ``qualified_csv``),
-    each below ``paths.root`` with the suffix ``part``; fresh results are added to the cache. Each step reads
+    Tables: ``skipped``, ``sites``, ``site_results`` (fresh), ``results`` (those and cached ones), ``requests``,
+    ``qualified`` (and ``qualified_csv``), each below ``paths.root`` with the suffix ``part``; fresh results are added to the cache. Each step reads
     what the one before has written, so a lost executor costs tasks, not the run, and repeating a run
     overwrites its own tables and cache partition only.
     """
@@ -114,13 +121,13 @@ def run(
     misses = cache_misses(sites, latest, retry_errors)
     write_results(evaluate_sites(misses, pages, answers), paths.of("site_results", part))
     stored = spark.read.parquet(paths.of("site_results", part))
-    write_requests(requests_for_sites(misses, pages, answers), paths.of("requests", part))
+    write_requests(requests_for_sites(misses, pages, answers, retry_errors), paths.of("requests", part))
 
     hits = cache_hits(sites.select("site", "cache_key"), latest, WEBSITE, retry_errors)
-    results = combined(hits, stored)
-    counts = sites.select("site", F.col("n_contacts").alias("n"))
+    write_results(combined(hits, stored), paths.of("results", part))
+    results = spark.read.parquet(paths.of("results", part))
     observed = Observation()
-    stamped = scored(ready, results, F.lit(run_time), counts).observe(
+    stamped = scored(ready, results, F.lit(run_time), site_counts(sites)).observe(
         observed, F.count_if(F.col(WEBSITE.error_column) != errors.NO_WEBSITE).alias("processed")
     )
     write_results(_in_order(stamped, contacts), paths.of("qualified", part))

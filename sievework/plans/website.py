@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions import errors
-from sievework.functions.answers import with_decoded, without_answer
+from sievework.functions.answers import decodable, with_decoded, without_answer
+from sievework.functions.keys import fetch_url
 from sievework.functions.stages import WEBSITE, Stage
 from sievework.operators.cache import cache_hits, cache_misses, combined, latest_entries, payload_columns
 from sievework.operators.distinct import distinct_sites
@@ -62,12 +63,28 @@ def pending_website_requests(
     sites = distinct_sites(contacts)
     if cache is not None:
         sites = cache_misses(sites, latest_entries(cache, WEBSITE), retry_errors)
-    return requests_for_sites(sites, pages, answers)
+    return requests_for_sites(sites, pages, answers, retry_errors)
 
 
-def requests_for_sites(sites: DataFrame, pages: DataFrame, answers: DataFrame) -> DataFrame:
+def replied_keys(answers: DataFrame, retry_errors: bool) -> DataFrame:
+    """Keys that need no request: those with a reply; when errors are retried, only those whose reply can be decoded."""
+    done = F.col("raw_answer").isNotNull()
+    if retry_errors:
+        done &= decodable(F.col("raw_answer"))
+    return answers.filter(done).select(F.col("answer_key").alias("cache_key"))
+
+
+def open_sites(sites: DataFrame, answers: DataFrame, retry_errors: bool = False) -> DataFrame:
+    return sites.join(replied_keys(answers, retry_errors), "cache_key", "left_anti")
+
+
+def pages_of(sites: DataFrame, pages: DataFrame) -> DataFrame:
+    """The raw pages (``url``) of the given sites, so that no other page's text is made."""
+    wanted = sites.select("fetch_url").distinct()
+    return pages.join(wanted, fetch_url(F.col("url")) == F.col("fetch_url"), "left_semi")
+
+
+def requests_for_sites(sites: DataFrame, pages: DataFrame, answers: DataFrame, retry_errors: bool = False) -> DataFrame:
     """Requests for the sites that have page text and no answer."""
-    replied = answers.filter(F.col("raw_answer").isNotNull()).select(F.col("answer_key").alias("cache_key"))
-    open_sites = sites.join(replied, "cache_key", "left_anti")
-    texts = page_for_sites(open_sites, pages).filter(~F.col("page_blank") & F.col("page_error").isNull())
+    texts = page_for_sites(open_sites(sites, answers, retry_errors), pages).filter(~F.col("page_blank") & F.col("page_error").isNull())
     return website_requests(texts)

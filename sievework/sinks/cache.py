@@ -1,31 +1,33 @@
-"""Cache folders, partitioned by run, so that repeating a run replaces its own entries only."""
+"""Cache folders, one per stage and run, so that repeating a run replaces its own entries only."""
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.functions.stages import Stage
+from sievework.functions.stages import WEBSITE, Stage
 from sievework.operators.cache import without_keys
 from sievework.sources.tables import cache_schema
 
 
-def append_entries(entries: DataFrame, path: str, run_id: str) -> None:
-    (
-        entries.withColumn("run_id", F.lit(run_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .parquet(path)
-    )
+def _folder(path: str, stage: Stage) -> str:
+    return f"{path}/stage={stage.prefix}"
+
+
+def append_entries(entries: DataFrame, path: str, run_id: str, stage: Stage = WEBSITE) -> None:
+    """Write a stage's entries of one run, in place of those it wrote before, if any."""
+    own = entries.filter(F.col("stage") == stage.prefix).drop("stage")
+    own.write.mode("overwrite").parquet(f"{_folder(path, stage)}/run_id={quote(run_id, safe='')}")
 
 
 def clear_cache(spark: SparkSession, path: str, stage: Stage) -> None:
-    """Leave an empty cache folder."""
-    empty = spark.createDataFrame([], cache_schema(stage))
-    empty.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("run_id").parquet(path)
+    """Leave no entries of a stage; other stages keep theirs."""
+    empty = spark.createDataFrame([], cache_schema(stage)).drop("stage", "run_id")
+    empty.write.mode("overwrite").parquet(f"{_folder(path, stage)}")
 
 
 def delete_keys(cache: DataFrame, keys: DataFrame, new_path: str) -> None:
     """Write a stored cache without ``keys`` to a new folder; the old one stays readable meanwhile."""
-    without_keys(cache, keys).write.mode("errorifexists").partitionBy("run_id").parquet(new_path)
+    without_keys(cache, keys).write.mode("errorifexists").partitionBy("stage", "run_id").parquet(new_path)

@@ -7,28 +7,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sievework.functions.answers import decodable
 from sievework.functions.errors import API_ERROR, FETCH_ERROR, PROFILE_ERROR, prefixed
-from sievework.functions.html import MIN_STATIC_CHARS, rendered_or_static, with_page_text
+from sievework.functions.html import MAX_CHARS, MIN_STATIC_CHARS, rendered_or_static, with_page_text
 from sievework.functions.keys import fetch_url, normal_url
 from sievework.functions.stages import Stage
 from sievework.functions.text import is_blank
-from sievework.operators.distinct import one_per_key
+from sievework.operators.distinct import best_per_key
 from sievework.operators.profiles import found_person
 
 
-def page_texts(pages: DataFrame) -> DataFrame:
+def page_texts(pages: DataFrame, max_chars: int | None = MAX_CHARS) -> DataFrame:
     """Pages as ``page_id, page_url, page_text, page_blank, page_error``.
 
     ``pages`` has a unique ``page_id``, ``url`` and ``html``; optional are ``rendered_html``, used where the
     static text is short, and ``fetch_error`` (``Type: message``). The text is made where the page is read,
-    before any shuffle, so at most ``MAX_CHARS`` characters of a page ever move.
+    before any shuffle, so at most ``max_chars`` characters of a page ever move; None keeps whole texts.
     """
-    texts = with_page_text(pages, "html", "_static")
+    texts = with_page_text(pages, "html", "_static", max_chars)
     rendered = None
     if "rendered_html" in pages.columns:
         # Rendered pages are only looked into where they are needed.
         needed = F.when(F.length(F.coalesce("_static", F.lit(""))) < MIN_STATIC_CHARS, F.col("rendered_html"))
-        texts = with_page_text(texts.withColumn("_needed", needed), "_needed", "_rendered")
+        texts = with_page_text(texts.withColumn("_needed", needed), "_needed", "_rendered", max_chars)
         rendered = F.col("_rendered")
     error = prefixed(FETCH_ERROR, F.col("fetch_error")) if "fetch_error" in pages.columns else F.lit(None).cast("string")
     text = F.coalesce(rendered_or_static(F.col("_static"), rendered), F.lit(""))
@@ -41,9 +42,9 @@ def page_texts(pages: DataFrame) -> DataFrame:
     )
 
 
-def land_page_texts(pages: DataFrame, out: str) -> DataFrame:
+def land_page_texts(pages: DataFrame, out: str, max_chars: int | None = MAX_CHARS) -> DataFrame:
     """Make the texts of a crawl once for any number of runs."""
-    page_texts(pages).write.mode("overwrite").parquet(out)
+    page_texts(pages, max_chars).write.mode("overwrite").parquet(out)
     return pages.sparkSession.read.parquet(out)
 
 
@@ -55,15 +56,21 @@ def read_profiles(spark: SparkSession, path: str) -> DataFrame:
 def profiles_from_responses(responses: DataFrame, data: str) -> DataFrame:
     """``profile_url, person, profile_error``, one per normal URL; a response without data found nobody.
 
-    ``data`` is JSON text or VARIANT. Optional ``lookup_error`` (``Type: message``) marks failed lookups.
+    ``data`` is JSON text or VARIANT. Optional ``lookup_error`` (``Type: message``) marks failed lookups. Of several
+    responses to one URL one that holds a person comes first, then any with data, then the newest by the optional
+    ``responded_at``.
     """
     body = F.col(data)
     if isinstance(responses.schema[data].dataType, T.VariantType):
         body = F.to_json(body)
     failure = F.col("lookup_error") if "lookup_error" in responses.columns else F.lit(None).cast("string")
-    # Copies are reduced on the text, which can be compared.
-    slim = responses.select(normal_url(F.col("profile_url")).alias("profile_url"), body.alias("_text"), failure.alias("_failure"))
-    return one_per_key(slim, "profile_url", "_text", "_failure").select(
+    time = F.col("responded_at") if "responded_at" in responses.columns else F.lit(None).cast("timestamp")
+    slim = responses.select(
+        normal_url(F.col("profile_url")).alias("profile_url"), body.alias("_text"), failure.alias("_failure"), time.alias("_time")
+    )
+    found = slim.withColumn("_found", found_person(F.col("_text")).isNotNull())
+    chosen = best_per_key(found, "profile_url", ["_text", "_failure"], [F.col("_found"), F.col("_text").isNotNull(), F.col("_time")])
+    return chosen.select(
         "profile_url",
         found_person(F.col("_text")).alias("person"),
         F.when(F.col("_text").isNull(), prefixed(PROFILE_ERROR, F.col("_failure"))).alias("profile_error"),
@@ -73,11 +80,14 @@ def profiles_from_responses(responses: DataFrame, data: str) -> DataFrame:
 def answers_from_replies(replies: DataFrame) -> DataFrame:
     """``answer_key, raw_answer, answer_error``, one per key.
 
-    Optional ``failure`` (``Type: message``) marks failed calls; a reply to the same key outweighs it.
+    Optional ``failure`` (``Type: message``) marks failed calls. Of several replies to one key one that can be decoded
+    comes first, then any reply, then a failure; among equals the newest by the optional ``replied_at``.
     """
     failure = F.col("failure") if "failure" in replies.columns else F.lit(None).cast("string")
-    slim = replies.select("answer_key", "raw_answer", failure.alias("_failure"))
-    return one_per_key(slim, "answer_key", "raw_answer", "_failure").select(
+    time = F.col("replied_at") if "replied_at" in replies.columns else F.lit(None).cast("timestamp")
+    slim = replies.select("answer_key", "raw_answer", failure.alias("_failure"), time.alias("_time"))
+    rank = [decodable(F.col("raw_answer")), F.col("raw_answer").isNotNull(), F.col("_failure").isNotNull(), F.col("_time")]
+    return best_per_key(slim, "answer_key", ["raw_answer", "_failure"], rank).select(
         "answer_key",
         "raw_answer",
         F.when(F.col("raw_answer").isNull(), prefixed(API_ERROR, F.col("_failure"))).alias("answer_error"),
@@ -92,7 +102,7 @@ def read_answers(spark: SparkSession, path: str, file_format: str = "parquet") -
 
 
 def cache_schema(stage: Stage) -> T.StructType:
-    """Columns of a stage's cache folder, ``run_id`` being its partition."""
+    """Columns of a stage's cache folder, ``stage`` and ``run_id`` being its partitions."""
     answers = [T.StructField(q.column, T.BooleanType()) for q in stage.questions]
     title = [T.StructField(stage.title_column, T.StringType())] if stage.has_title else []
     result = T.StructType(
@@ -120,7 +130,7 @@ def read_cache(spark: SparkSession, path: str, stage: Stage) -> DataFrame:
     """A stage's cache folder; empty if nothing has been written there yet."""
     schema = cache_schema(stage)
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/stage={stage.prefix}")
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -35,17 +35,28 @@ def start_incremental_run(
     checkpoint: str,
     retry_errors: bool = False,
     on_summary: Callable[[int, dict], None] | None = None,
+    on_total: Callable[[int], None] | None = None,
+    on_progress: Callable[[str, int], None] | None = None,
 ) -> StreamingQuery:
     """Process everything available and stop; start it again to go on where it stopped.
 
     ``tables`` returns the prepared pages and the answers and is asked anew for each batch, so additions to
-    them are seen.
+    them are seen. ``on_total`` and ``on_progress`` are told of each batch what a batch run is told.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         pages, answers = tables(batch.sparkSession)
         summary = run(
-            batch, pages, answers, paths, f"{run_id}-{batch_id}", run_time, part=f"/batch={batch_id}", retry_errors=retry_errors
+            batch,
+            pages,
+            answers,
+            paths,
+            f"{run_id}-{batch_id}",
+            run_time,
+            part=f"/batch={batch_id}",
+            retry_errors=retry_errors,
+            on_total=on_total,
+            on_progress=on_progress,
         )
         if on_summary:
             on_summary(batch_id, summary)
@@ -70,7 +81,7 @@ def qualified_so_far(spark: SparkSession, paths: RunPaths, batch_id: int | None
 
 def snapshot_of_all(contacts: DataFrame, paths: RunPaths, batch_id: int, qualified_at: Column) -> DataFrame:
     """The scored view of all contacts after a batch, those not reached yet with NULL answers."""
-    results = contacts.sparkSession.read.parquet(paths.of("site_results")).filter(F.col("batch") <= batch_id)
+    results = contacts.sparkSession.read.parquet(paths.of("results")).filter(F.col("batch") <= batch_id)
     # A site without a reply in one batch may be evaluated again in a later one.
     latest = results.groupBy("site").agg(F.max_by(F.struct("*"), "batch").alias("r")).select("r.*").drop("batch")
     return checkpoint_snapshot(contacts, latest, qualified_at)
