@@ -33,17 +33,21 @@ def read_contacts(spark: SparkSession, path: str, multi_line: bool = True) -> tu
     """Contacts, and the raw records that hold more fields than the header.
 
     Files are read whole by one task each while fields may contain line breaks; pass ``multi_line=False``
-    for large files known to have none, so that they are split.
+    for large files known to have none, so that they are split. In a folder every file must have the same header;
+    one that has not fails the read rather than filling the wrong columns.
     """
     reader = spark.read.options(multiLine=multi_line, quote='"', escape='"', mode="PERMISSIVE")
     first = reader.option("header", False).csv(path).first()
     if first is None:
         raise ValueError(f"No header line in {path}")
     names = _distinct_names([h or "" for h in first])
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, RAW_RECORD)])
+    # Spark compares each file's header with the schema, so that has the headers as they are written.
+    written = [h if h else f"_c{i}" for i, h in enumerate(first)]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*written, RAW_RECORD)])
     # Every field has to be parsed for a record of wrong length to be noticed.
     reader = reader.options(header=True, columnNameOfCorruptRecord=RAW_RECORD, columnPruning=False)
-    rows = reader.schema(schema).csv(path)
+    checked = reader.options(enforceSchema=not all(first))  # a nameless column can't be compared
+    rows = checked.schema(schema).csv(path).toDF(*names, RAW_RECORD)
 
     # The record is kept for short rows too, which are legal. Commas outside quotes tell the two apart.
     separators = F.regexp_count(F.regexp_replace(RAW_RECORD, '"[^"]*"', ""), F.lit(","))
