@@ -14,6 +14,7 @@ from sievework.llm.tables import held_out, stored
 
 KEEP_AT = 0.3
 SEED = 3
+_TEXTS_AT_ONCE = 256
 
 
 @dataclass(frozen=True)
@@ -104,7 +105,7 @@ def learned(docs: DataFrame, labels: DataFrame, settings: Settings) -> np.ndarra
     drawn = docs.select("doc_id", "text").join(known, "doc_id")
 
     def sparse(batches):
-        for batch in batches:
+        for batch in (whole.slice(low, _TEXTS_AT_ONCE) for whole in batches for low in range(0, whole.num_rows, _TEXTS_AT_ONCE)):
             bounds, places, values = features(batch["text"], settings)
             cut = list(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
             yield pa.RecordBatch.from_arrays(
@@ -149,9 +150,12 @@ def score_quality(docs: DataFrame, labels: DataFrame, settings: Settings = Setti
 
 def probabilities(texts: pa.Array, weights: np.ndarray, settings: Settings) -> np.ndarray:
     """Of a text being good: the logistic function of the dot product of its features and the weights."""
-    bounds, places, values = features(texts, settings)
-    sums = np.append(0.0, np.cumsum(weights[places].astype(float) * values))
-    return 1 / (1 + np.exp(-(weights[0] + sums[bounds[1:]] - sums[bounds[:-1]])))
+    out = np.empty(len(texts))
+    for low in range(0, len(texts), _TEXTS_AT_ONCE):
+        bounds, places, values = features(texts.slice(low, _TEXTS_AT_ONCE), settings)
+        sums = np.append(0.0, np.cumsum(weights[places].astype(float) * values))
+        out[low : low + _TEXTS_AT_ONCE] = 1 / (1 + np.exp(-(weights[0] + sums[bounds[1:]] - sums[bounds[:-1]])))
+    return out
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), keep_at: float = KEEP_AT) -> DataFrame:
