@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievework.functions.answers import decodable
 from sievework.functions.keys import cache_key
 from sievework.functions.stages import WEBSITE
 from sievework.operators.cache import cache_entries
@@ -86,11 +87,45 @@ def website_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def website_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return answers_from_replies(website_replies(spark, sf_dir))
+    """The replies, with worse ones to the same keys: older ones that can't be decoded, and newer ones beside good ones."""
+    replies = website_replies(spark, sf_dir).withColumn("replied_at", F.lit("2024-04-01"))
+    worse = F.when(F.col("page_id") % 5 == 0, F.lit("2024-03-01"))
+    worse = worse.when((F.col("page_id") % 5 == 1) & decodable(F.col("raw_answer")), F.lit("2024-04-20"))
+    copies = replies.filter(F.col("raw_answer").isNotNull()).withColumn("replied_at", worse).filter("replied_at is not null")
+    return answers_from_replies(replies.unionByName(copies.withColumn("raw_answer", F.lit("```json\n{}\n```"))))
+
+
+def crawled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages, some of which were crawled again later: of equal URLs the smallest page_id counts."""
+    pages = table(spark, sf_dir, "pages")
+    again = pages.filter("page_id % 4 = 1").withColumn("page_id", F.col("page_id") + 10_000_000)
+    return pages.unionByName(again.withColumn("html", F.lit("<p>crawled again</p>")))
 
 
 def prepared_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_texts(table(spark, sf_dir, "pages"))
+    return page_texts(crawled_pages(spark, sf_dir))
+
+
+def padded_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents between spaces of several kinds."""
+    pads = {1: " \t", 2: "\u00a0\u2003", 3: "\x1f\u3000 ", 4: "\n\n"}
+    pad = by_case(F.col("doc_id") % 6, pads, "")
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(pad, "text", pad).alias("text"))
+
+
+PHRASES = {
+    0: "We offer merchant services and a merchant account.",
+    1: "An independent ISO; payment processing, cash discounting.",
+    2: "An Independent ISO of Fiserv with CARD PROCESSING",
+    3: "zero-cost surcharges, payroll and ATM",
+    4: "our referral program pays residuals",
+    5: "paymentprocessing, misopayroll and surchargeable",
+}
+
+
+def texts_with_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    phrase = by_case(F.col("doc_id") % 8, PHRASES, "")
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit("\n"), phrase).alias("text"))
 
 
 def profile_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +155,10 @@ def profile_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiles_from_responses(profile_responses(spark, sf_dir), "data")
+    """The responses, with empty ones to some of the same URLs."""
+    responses = profile_responses(spark, sf_dir).select("profile_url", "data")
+    empty = responses.filter(F.crc32(F.col("profile_url").cast("binary")) % 3 == 0)
+    return profiles_from_responses(responses.unionByName(empty.withColumn("data", F.lit("null"))), "data")
 
 
 def person_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,6 +187,12 @@ def person_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def first_person_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the replies; the others are still awaited."""
+    replies = person_replies(spark, sf_dir)
+    return answers_from_replies(replies.withColumn("raw_answer", F.when(F.col("c_custkey") % 2 == 0, F.col("raw_answer"))))
+
+
 def person_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answers_from_replies(person_replies(spark, sf_dir))
 

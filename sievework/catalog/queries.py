@@ -25,7 +25,7 @@ from sievework.operators.profiles import trimmed_profile
 from sievework.operators.progress import job_snapshots
 from sievework.operators.requests import answers_from_rubric
 from sievework.operators.stage_results import default_rows
-from sievework.plans.person import pending_person_requests, person_results, with_person_stage
+from sievework.plans.person import pending_person_requests, person_results, profile_counts, with_both_stages, with_person_stage
 from sievework.plans.qualify import checkpoint_snapshot, prepared, qualify
 from sievework.plans.website import open_sites, pages_of, requests_for_sites, website_results
 from sievework.session import configure
@@ -84,7 +84,7 @@ def contacts_with_profile_url(spark, sf_dir):
 @query
 def stripped_text(spark, sf_dir):
     text = strip(F.col("text"))
-    return fx.table(spark, sf_dir, "documents").select("doc_id", text.alias("stripped"), F.length(text).cast("long").alias("n"))
+    return fx.padded_texts(spark, sf_dir).select("doc_id", text.alias("stripped"), F.length(text).cast("long").alias("n"))
 
 
 @query
@@ -145,7 +145,7 @@ def answer_lookup(spark, sf_dir):
 def website_requests(spark, sf_dir):
     sites = distinct_sites(prepared(fx.contacts(spark, sf_dir)))
     answers = fx.website_answers(spark, sf_dir)
-    pages = pages_of(open_sites(sites, answers), fx.table(spark, sf_dir, "pages"))
+    pages = pages_of(open_sites(sites, answers), fx.crawled_pages(spark, sf_dir))
     return requests_for_sites(sites, page_texts(pages), answers)
 
 
@@ -174,9 +174,8 @@ def profile_trimmed(spark, sf_dir):
 
 @query
 def person_requests(spark, sf_dir):
-    # Nobody has replied yet.
-    none = answers_from_replies(fx.person_replies(spark, sf_dir).withColumn("raw_answer", F.lit(None).cast("string")))
-    return pending_person_requests(prepared(fx.contacts(spark, sf_dir)), fx.profiles(spark, sf_dir), none)
+    some = fx.first_person_answers(spark, sf_dir)
+    return pending_person_requests(prepared(fx.contacts(spark, sf_dir)), fx.profiles(spark, sf_dir), some)
 
 
 @query
@@ -194,22 +193,21 @@ def person_scores(spark, sf_dir):
 def qualified_people(spark, sf_dir):
     ready = prepared(fx.contacts(spark, sf_dir))
     results = person_results(ready, fx.profiles(spark, sf_dir), fx.person_answers(spark, sf_dir))
-    return with_person_stage(ready, results).select("contact_id", *PERSON.result_columns)
+    return with_person_stage(ready, results, profile_counts(ready)).select("contact_id", *PERSON.result_columns)
 
 
 @query
 def weighted_leads(spark, sf_dir):
     ready = prepared(fx.contacts(spark, sf_dir))
     people = person_results(ready, fx.profiles(spark, sf_dir), fx.person_answers(spark, sf_dir))
-    both = with_person_stage(ready, people).select("contact_id", "s2_score")
-    scores = _qualified(spark, sf_dir).select("contact_id", "s1_score").join(both, "contact_id")
-    return with_weighted_score(scores)
+    sites = website_results(ready, fx.prepared_pages(spark, sf_dir), fx.website_answers(spark, sf_dir))
+    return with_weighted_score(with_both_stages(ready, sites, people).select("contact_id", "s1_score", "s2_score"))
 
 
 @query
 def rubric_evidence(spark, sf_dir):
     found = evidence(F.col("text"), WEBSITE_RULES, [q.field for q in WEBSITE.questions])
-    return fx.table(spark, sf_dir, "documents").select("doc_id", *[c.alias(f) for f, c in found.items()])
+    return fx.texts_with_phrases(spark, sf_dir).select("doc_id", *[c.alias(f) for f, c in found.items()])
 
 
 @query

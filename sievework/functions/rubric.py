@@ -31,13 +31,6 @@ WEBSITE_RULES = (
     Rule("q4_value_added_products", r"pos systems?|point of sale|business funding|merchant cash advance|atms?|payroll|loyalty"),
     Rule("q5_has_agent_program", r"(?:agent|partner|referral) program|sub-iso|residual(?:s| income)?|white[- ]label|reseller"),
 )
-PERSON_RULES = (
-    Rule("q1_person_sells_payments", r"payment processing|merchant services|iso agent|payments sales"),
-    Rule("q2_person_at_independent_iso", r"independent iso|iso|msp|payments agency"),
-    Rule("q2_person_at_independent_iso", MAJOR_PROCESSORS, excludes=True),
-    Rule("q3_person_is_decision_maker", r"owner|founder|president|ceo|coo|vp|director|partner|head of"),
-    Rule("q5_person_manages_team", r"manag(?:e|es|ed|ing) (?:a |the )?(?:sales )?team|recruited|built (?:an |the )?iso channel|agent network"),
-)
 
 
 def evidence(text: Column, rules: Sequence[Rule], fields: Sequence[str]) -> dict[str, Column]:

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions import errors
 from sievework.functions.answers import with_decoded
-from sievework.functions.stages import PERSON
-from sievework.operators.cache import cache_hits, cache_misses, combined, latest_entries, payload_columns
-from sievework.operators.distinct import distinct_profiles
+from sievework.functions.stages import PERSON, WEBSITE
+from sievework.operators.cache import cache_entries, cache_hits, cache_misses, combined, latest_entries, payload_columns
+from sievework.operators.distinct import distinct_profiles, distinct_sites
 from sievework.operators.lookup import answer_for_keys, profile_for_people
 from sievework.operators.profiles import trimmed_profile
 from sievework.operators.requests import person_requests
 from sievework.operators.stage_results import fill_missing_stage, merge_stage_results
+from sievework.plans.qualify import prepared
 from sievework.plans.website import replied_keys, with_faults
+from sievework.sinks.cache import append_entries
+from sievework.sinks.results import write_requests, write_results
+from sievework.sources.tables import read_cache
 
 
 def evaluate_people(people: DataFrame, profiles: DataFrame, answers: DataFrame) -> DataFrame:
@@ -60,6 +66,50 @@ def requests_for_people(people: DataFrame, profiles: DataFrame, answers: DataFra
     return person_requests(found.withColumn("profile_json", trimmed_profile(F.col("person"))))
 
 
+def profile_counts(contacts: DataFrame) -> DataFrame:
+    """Contacts per profile, which the distinct profiles hold already."""
+    return distinct_profiles(contacts).select("profile", F.col("n_contacts").alias("n"))
+
+
+def with_both_stages(contacts: DataFrame, sites: DataFrame, people: DataFrame) -> DataFrame:
+    """Contacts that carry lookup keys with the columns of both stages, joined onto them one after the other."""
+    counts = distinct_sites(contacts).select("site", F.col("n_contacts").alias("n"))
+    merged = merge_stage_results(contacts, sites, WEBSITE, "site", counts)
+    return with_person_stage(fill_missing_stage(merged, WEBSITE, "site", errors.NO_WEBSITE), people, profile_counts(contacts))
+
+
+def run_people(
+    contacts: DataFrame,
+    profiles: DataFrame,
+    answers: DataFrame,
+    root: str,
+    cache_path: str,
+    run_id: str,
+    run_time: datetime,
+    retry_errors: bool = False,
+) -> DataFrame:
+    """Evaluate the profiles of stored ``contacts`` and write every table of the run; returns the stored results.
+
+    Tables below ``root``: ``people``, ``person_results`` (fresh), ``all_person_results`` (those and cached ones) and
+    ``person_requests``. Fresh results are added to the stage's cache; repeating a run replaces what it wrote.
+    """
+    spark = contacts.sparkSession
+
+    def kept(df: DataFrame, table: str) -> DataFrame:
+        write_results(df, f"{root}/{table}")
+        return spark.read.parquet(f"{root}/{table}")
+
+    latest = latest_entries(read_cache(spark, cache_path, PERSON).filter(F.col("run_id") != run_id), PERSON)
+    people = kept(distinct_profiles(prepared(contacts)), "people")
+    misses = cache_misses(people, latest, retry_errors)
+    fresh = kept(evaluate_people(misses, profiles, answers), "person_results")
+    write_requests(requests_for_people(misses, profiles, answers, retry_errors), f"{root}/person_requests")
+    hits = cache_hits(people.select("profile", "cache_key"), latest, PERSON, retry_errors)
+    results = kept(combined(hits, fresh), "all_person_results")
+    append_entries(cache_entries(fresh, PERSON, F.lit(run_time)), cache_path, run_id, PERSON)
+    return results
+
+
 def with_person_stage(contacts: DataFrame, results: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Contacts that carry lookup keys with the stage's columns."""
     merged = merge_stage_results(contacts, results, PERSON, "profile", counts)

@@ -9,6 +9,7 @@ from sievework.functions.keys import cache_key
 from sievework.functions.stages import PERSON, WEBSITE
 from sievework.operators.cache import cache_entries
 from sievework.operators.lookup import spread_left_join
+from sievework.plans.person import run_people
 from sievework.plans.qualify import RunPaths, qualify, run
 from sievework.sinks.cache import append_entries, clear_cache
 from sievework.sources.contacts import read_contacts
@@ -117,3 +118,24 @@ def test_a_file_with_another_header_is_refused(spark, tmp_path, multi_line):
     (tmp_path / "c.csv").write_text("company,Name,WebSite\nc3,n3,w3\n")
     with pytest.raises(Exception, match="c.csv"):
         read_contacts(spark, str(tmp_path), multi_line)[0].collect()
+
+
+def test_a_stored_person_run_and_its_cache(spark, tmp_path):
+    path = str(tmp_path / "contacts")
+    shape = "contact_id long, name string, company string, website string, linkedin_url string"
+    spark.createDataFrame([(1, "A", "C", "", "https://p/a"), (2, "B", "C", "", "https://p/b"), (3, "C", "C", "", "https://p/a")], shape).write.parquet(path)
+    contacts = spark.read.parquet(path)
+    found = profiles_from_responses(spark.createDataFrame([("https://p/a", '{"full_name":"A"}'), ("https://p/b", "null")], "profile_url string, data string"), "data")
+    key = cache_key(F.lit("s2"), F.lit("https://p/a"))
+    reply = '{"q1_person_sells_payments":true,"q2_person_at_independent_iso":true,"title":"T"}'
+    empty = answers_from_replies(spark.createDataFrame([], "answer_key string, raw_answer string"))
+    answered = answers_from_replies(spark.range(1).select(key.alias("answer_key"), F.lit(reply).alias("raw_answer")))
+
+    def results(answers, run_id):
+        root = str(tmp_path / run_id)
+        rows = run_people(contacts, found, answers, root, str(tmp_path / "cache"), run_id, NOW).collect()
+        return {r["profile"]: (r["s2_score"], r["s2_error"]) for r in rows}, spark.read.schema("cache_key string").json(root + "/person_requests").count()
+
+    assert results(empty, "r1") == ({"https://p/a": (0, "no_answer"), "https://p/b": (0, "profile_not_found")}, 1)
+    assert results(answered, "r2") == ({"https://p/a": (6, ""), "https://p/b": (0, "profile_not_found")}, 0)
+    assert results(empty, "r3") == ({"https://p/a": (6, ""), "https://p/b": (0, "profile_not_found")}, 0)
