@@ -65,4 +65,50 @@ FROM turns t JOIN kept k ON t.conv_id = k.conv_id
 GROUP BY t.conv_id, coalesce(floor(t.turn / 256), -4611686018427387904)
 """
 
-ORACLE_SQL = {"op2_mix_sources": MIX_SQL, "op10_chat": CHAT_SQL}
+# All pairs that share a shingle, and all that links lead to.
+NEAR_TEXTS_SQL = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS shingles
+    FROM worded
+), items AS (
+    SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared, any_value(a.n) AS na, any_value(b.n) AS nb
+    FROM items a JOIN items b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT a, b FROM pairs WHERE 100 * shared >= 85 * (na + nb - shared)
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM sets
+    UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT s.doc_id, any_value(len(s.shingles))::BIGINT AS n_shingles, min(r.other) AS component_id, s.doc_id = min(r.other) AS kept
+FROM sets s JOIN reached r ON r.doc_id = s.doc_id GROUP BY s.doc_id
+"""
+
+NEAR_VECTORS_SQL = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reached AS (
+    SELECT vec_id, vec_id AS other FROM embeddings
+    UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other
+), counted AS (
+    SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT r.vec_id, coalesce(any_value(c.n), 0) AS n_links, min(r.other) AS component_id, r.vec_id = min(r.other) AS kept
+FROM reached r LEFT JOIN counted c ON c.vec_id = r.vec_id GROUP BY r.vec_id
+"""
+
+ORACLE_SQL = {
+    "op2_mix_sources": MIX_SQL,
+    "op8_near_texts": NEAR_TEXTS_SQL,
+    "op9_near_vectors": NEAR_VECTORS_SQL,
+    "op10_chat": CHAT_SQL,
+}
