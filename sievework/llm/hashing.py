@@ -11,6 +11,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+from sievework.llm.workers import per_worker
+
 MASK = (1 << 64) - 1
 _POWER = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_POWER, -1, 1 << 64)
@@ -55,7 +57,8 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-_UP, _DOWN = _powers(_POWER, _CHUNK), _powers(_INVERSE, _CHUNK)
+def _rising_and_falling() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(_POWER, _CHUNK), _powers(_INVERSE, _CHUNK)
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -85,6 +88,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if not len(starts):
         return np.empty(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
     sums = np.empty(len(starts), np.uint64)
+    rising, falling = per_worker(("powers", _CHUNK), _rising_and_falling)  # too large to travel with every task
     at = 0
     while at < len(starts):  # pieces of about _CHUNK bytes that end where words end
         to = max(at + 1, int(np.searchsorted(starts, starts[at] + _CHUNK, side="right")) - 1)
@@ -93,7 +97,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if to >= len(starts) - 1 and len(data) - starts[at] <= _CHUNK:
             to = len(starts)
         low, high = int(starts[at]), int(starts[to]) if to < len(starts) else len(data)
-        up, down = (_UP, _DOWN) if high - low <= _CHUNK else (_powers(_POWER, high - low), _powers(_INVERSE, high - low))
+        up, down = (rising, falling) if high - low <= _CHUNK else (_powers(_POWER, high - low), _powers(_INVERSE, high - low))
         terms = np.where(inside[low:high], _VALUES[data[low:high]], np.uint64(0)) * up[: high - low]
         own = starts[at:to] - low
         sums[at:to] = np.add.reduceat(terms, own) * down[own]
