@@ -45,7 +45,10 @@ def distinct_profiles(contacts: DataFrame) -> DataFrame:
 
 
 def best_per_key(df: DataFrame, key: str, values: list[str], rank: list[Column]) -> DataFrame:
-    """The ``values`` of the row of greatest ``rank`` per ``key`` (NULL ranks lowest), ties by hash; combined before the shuffle."""
-    tie = F.xxhash64(*values)
-    best = F.max_by(F.struct(*values), F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank)], tie.alias("tie")))
-    return df.groupBy(key).agg(best.alias("_best")).select(key, "_best.*")
+    """The ``values`` of the row of greatest ``rank`` per ``key`` (NULL ranks lowest), ties by hash; combined before the shuffle.
+
+    Each value is an aggregate of its own, so that one which a plan does not use is not shuffled.
+    """
+    ranks = F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank)], F.xxhash64(*values).alias("tie"))
+    ranked = df.select(key, *values, ranks.alias("_rank"))
+    return ranked.groupBy(key).agg(*[F.max_by(v, "_rank").alias(v) for v in values])

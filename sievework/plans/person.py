@@ -25,7 +25,7 @@ from sievework.sources.tables import read_cache
 
 def evaluate_people(people: DataFrame, profiles: DataFrame, answers: DataFrame) -> DataFrame:
     """Result columns for each profile from the profile responses and the answers."""
-    found = profiles.select("profile_url", F.col("person").isNotNull().alias("found"), "profile_error")
+    found = profiles.select("profile_url", "found", "profile_error")  # no body is shuffled
     slim = people.select("profile", "cache_key")
     decoded = with_decoded(answer_for_keys(profile_for_people(slim, found), answers), PERSON)
     fault = (

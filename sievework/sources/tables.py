@@ -54,7 +54,7 @@ def read_profiles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def profiles_from_responses(responses: DataFrame, data: str) -> DataFrame:
-    """``profile_url, person, profile_error``, one per normal URL; a response without data found nobody.
+    """``profile_url, person, found, profile_error``, one per normal URL; a response without data found nobody.
 
     ``data`` is JSON text or VARIANT. Optional ``lookup_error`` (``Type: message``) marks failed lookups. Of several
     responses to one URL one that holds a person comes first, then any with data, then the newest by the optional
@@ -69,11 +69,13 @@ def profiles_from_responses(responses: DataFrame, data: str) -> DataFrame:
         normal_url(F.col("profile_url")).alias("profile_url"), body.alias("_text"), failure.alias("_failure"), time.alias("_time")
     )
     found = slim.withColumn("_found", found_person(F.col("_text")).isNotNull())
-    chosen = best_per_key(found, "profile_url", ["_text", "_failure"], [F.col("_found"), F.col("_text").isNotNull(), F.col("_time")])
+    found = found.withColumn("_any", F.col("_text").isNotNull())
+    chosen = best_per_key(found, "profile_url", ["_text", "_failure", "_found", "_any"], [F.col("_found"), F.col("_any"), F.col("_time")])
     return chosen.select(
         "profile_url",
         found_person(F.col("_text")).alias("person"),
-        F.when(F.col("_text").isNull(), prefixed(PROFILE_ERROR, F.col("_failure"))).alias("profile_error"),
+        F.col("_found").alias("found"),
+        F.when(~F.col("_any"), prefixed(PROFILE_ERROR, F.col("_failure"))).alias("profile_error"),
     )
 
 
