@@ -96,9 +96,12 @@ def learned(docs: DataFrame, order: int, dimensions: int, rows_per_language: int
     drawn by a hash of the id: only those rows' sums leave the tasks, one vector per task and language.
     """
     rows = docs.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"))
+    sizes = {r["lang"]: r["rows"] for r in rows.groupBy("lang").agg(F.count("*").alias("rows")).collect()}  # a row per language
+    if not sizes:
+        return [], np.empty((0, dimensions), np.float32)
+    size = F.create_map(*[F.lit(x) for pair in sorted(sizes.items()) for x in pair])[F.col("lang")]
     place = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    drawn = rows.join(sizes, "lang").filter(place * F.col("rows") < rows_per_language).select("lang", "text")
+    drawn = rows.filter(place * size < rows_per_language).select("lang", "text")
 
     def summed(batches):
         sums: dict[str, np.ndarray] = {}
