@@ -13,7 +13,6 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_EPOCHS = 2
 SEED = 20
-ROWS_PER_RANGE = 50_000
 _DRAWS = 1 << 60  # draws are 60-bit numbers
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -62,7 +61,6 @@ def mix(
     share: float = SHARE,
     max_epochs: float = MAX_EPOCHS,
     seed: int = SEED,
-    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """How many words of each document a mix of the sources takes.
 
@@ -79,10 +77,10 @@ def mix(
     place are taken in part alike. An empty table gives an empty result.
 
     One pass reads the texts. The point where a source's last repetition ends is found without sorting a source: words
-    are summed by ranges of the order, only the range that holds the point is summed by place. A source of any size is
-    thus spread over many groups.
+    are summed by ranges of the order, only the range that holds the point is summed by place. A source of n documents has
+    about sqrt(n) ranges of about sqrt(n) documents, so neither step gathers many.
     """
-    base, ends = _planned(docs, weights, share, max_epochs, seed, rows_per_range)
+    base, ends = _planned(docs, weights, share, max_epochs, seed)
     return _counted(base, ends).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
@@ -92,21 +90,20 @@ def mixed_documents(
     share: float = SHARE,
     max_epochs: float = MAX_EPOCHS,
     seed: int = SEED,
-    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as ``mix`` says, with the columns of ``docs``.
 
     A document taken in part comes once more if the part is half or more, else not: texts are never cut here. Texts are
     not shuffled: the table of sources decides from a row's own size and place.
     """
-    _, ends = _planned(docs, weights, share, max_epochs, seed, rows_per_range)
+    _, ends = _planned(docs, weights, share, max_epochs, seed)
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"), F.col("source"), n_words(F.col("text")).alias("size"))
     rows = _counted(rows.withColumn("draw", draw(F.col("doc_id"), F.col("size"), seed)), ends).filter(F.col("copies") > 0)
     times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("time")
     return rows.select("row", times).select("row.*")
 
 
-def _planned(docs, weights, share, max_epochs, seed, rows_per_range) -> tuple[DataFrame, DataFrame]:
+def _planned(docs, weights, share, max_epochs, seed) -> tuple[DataFrame, DataFrame]:
     """Sizes and places of all rows; per source its target and the place where its last repetition ends."""
     size = n_words(F.col("text"))
     base = docs.select("doc_id", "source", size.alias("size")).withColumn("draw", draw(F.col("doc_id"), F.col("size"), seed))
@@ -117,7 +114,7 @@ def _planned(docs, weights, share, max_epochs, seed, rows_per_range) -> tuple[Da
     sources = water_filled(sources, share * total, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     sources = sources.withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    sources = sources.withColumn("ranges", F.ceil(F.col("rows") / rows_per_range).cast("double"))
+    sources = sources.withColumn("ranges", F.ceil(F.sqrt(F.col("rows"))).cast("double"))
     sources = stored(sources.withColumnRenamed("source", "own_source"), "targets")
 
     at_range = F.floor(F.col("draw") / F.lit(float(_DRAWS)) * F.col("ranges"))
