@@ -19,19 +19,21 @@ class Settings:
     """list_size: vectors per list aimed at; lists: most lists, all of which are held in memory with their graph.
 
     sample: about how many vectors the centroids are fitted on. copies: most lists of one vector. near: how much farther
-    than the nearest centroid another list of a vector may be. reach: the same for the lists that a query reads. beam:
-    centroids that the graph search keeps in view. block: vectors compared with as many queries at once.
+    than the nearest centroid another list of a vector may be. reach: the same for the lists that a query reads; probes:
+    most of these. beam: centroids that the graph search keeps in view. block: vectors compared with as many queries at
+    once.
     """
 
-    list_size: int = 200
+    list_size: int = 400
     lists: int = 4096
     sample: int = 20_000
     rounds: int = 6
     balance: float = 0.3
-    copies: int = 8
-    near: float = 0.08
-    reach: float = 0.16
-    beam: int = 64
+    copies: int = 4
+    near: float = 0.1
+    reach: float = 0.2
+    probes: int = 16
+    beam: int = 32
     degree: int = 16
     block: int = 2048
     batch: int = 1024
@@ -117,9 +119,9 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, sett
 
     Both tables need vec_id and embedding; a query is never its own neighbour. Vectors get one component more, so that
     the largest inner product is the least distance. Centroids are fitted on a bounded sample; every vector goes to the
-    list of its nearest centroid and, if it lies near a boundary, to those of others that are nearly as near and not
-    behind one chosen already. A query reads the lists whose centroids are at most ``reach`` farther than its nearest,
-    and as many more as hold enough candidates. Centroids are found through a graph held in memory, whose size does not
+    list of its nearest centroid and, if it lies near a boundary, to those of others that are nearly as near. A query reads
+    the lists whose centroids are at most ``reach`` farther than its nearest, ``probes`` at most, and as many more as hold
+    enough candidates. Centroids are found through a graph held in memory, whose size does not
     grow with the table. Scores are inner products of the original vectors in double precision; ties go to the smaller
     vec_id. Lists of any size are split into blocks, as are their queries, so none is gathered in one task.
 
@@ -147,17 +149,10 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, sett
             for low in range(0, whole.num_rows, s.batch):
                 batch = whole.slice(low, s.batch)
                 values = matrix(batch["value"], width)
-                ids, d = graph_search(lifted(values, longest), centroids, graph, min(s.beam, 4 * s.copies))
+                ids, d = graph_search(lifted(values, longest), centroids, graph, s.beam)
                 chosen = d <= (1 + s.near) * d[:, :1]
                 chosen[:, 0] = True
-                for j in range(1, ids.shape[1]):
-                    own = np.flatnonzero(chosen[:, j])
-                    for i in range(j) if len(own) else ():
-                        between = np.sqrt(((centroids[ids[own, i]] - centroids[ids[own, j]]) ** 2).sum(1))
-                        behind = chosen[own, i] & (between < d[own, j])
-                        chosen[own[behind], j] = False
-                        own = own[~behind]
-                chosen &= np.cumsum(chosen, axis=1) <= s.copies
+                chosen[:, s.copies :] = False
                 at, j = np.nonzero(chosen)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at, j]), batch["vec_id"].take(pa.array(at)), as_binary(values[at])], ["list", "vec_id", "vector"])
 
@@ -175,7 +170,9 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, sett
                 points = np.hstack([values, np.zeros((len(values), 1))])
                 ids, d = graph_search(points, centroids, graph, max(s.beam, min(len(centroids), enough)) if sizes.min() < 2 else s.beam)
                 before = np.cumsum(sizes[ids], axis=1) - sizes[ids]
-                at, j = np.nonzero((d <= (1 + s.reach) * d[:, :1]) | (before < enough))
+                read = d <= (1 + s.reach) * d[:, :1]
+                read[:, s.probes :] = False
+                at, j = np.nonzero(read | (before < enough))
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at, j]), batch["vec_id"].take(pa.array(at)), as_binary(values[at])], ["list", "query_id", "vector"])
 
     probes = stored(asked.mapInArrow(probed, "list long, query_id long, vector binary"), "probes")
