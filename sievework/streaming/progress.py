@@ -1,22 +1,17 @@
 """Job snapshots over a stream of progress events: the streaming form of ``operators.progress``.
 
-Within a micro-batch events may come in any order; a later batch holds later ``seq`` of a job, and events
-not later than what has been applied are replays and ignored. Events are thinned out where they are read,
-before the shuffle, to those that can still matter, so a job that owns much of a batch reaches its stateful
-task as a few rows per input task.
+The state of a job is the few events that decide its snapshot. Each micro-batch is merged with the state of the one
+before by the batch form's own aggregates, so nothing is gathered per job and no Python runs on events.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StreamingQuery
 
-from sievework.operators.progress import SNAPSHOT_COLUMNS, percent, with_optional_columns
+from sievework.operators.progress import deciding_events, job_snapshots, with_optional_columns
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -30,88 +25,34 @@ EVENT_SCHEMA = T.StructType(
         T.StructField("message", T.StringType()),
     ]
 )
-_OUTPUT = "job_id long, status string, stage string, processed long, total long, summary string, error string"
-_STATE = T.StructType(
-    [
-        T.StructField("applied", T.LongType()),
-        T.StructField("status", T.StringType()),
-        T.StructField("stage", T.StringType()),
-        T.StructField("processed", T.LongType()),
-        T.StructField("total", T.LongType()),
-        T.StructField("summary", T.StringType()),
-        T.StructField("error", T.StringType()),
-    ]
-)
 
 
-def thinned(events: pd.DataFrame) -> pd.DataFrame:
-    """The events of each job that decide its snapshot, whatever other events are merged in later.
+def start_job_snapshots(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Process everything available and stop; start it again to go on where it stopped.
 
-    The last one of every kind, and of the totals also the last before the last 'done' and all after it.
+    Writes ``<path>/state/batch=<n>`` and ``<path>/snapshots/batch=<n>``, the snapshots of all jobs after each micro-batch.
+    A batch reads the state of the one before, so a replayed batch writes the same again; older folders may be deleted.
+    Within a micro-batch events may come in any order, and events that come late are put in their place unless a later
+    event of their kind has been seen.
     """
-    events = events.sort_values("seq")
-    is_total = events["kind"] == "total"
-    last_done = events["seq"].where(events["kind"] == "done").groupby(events["job_id"]).transform("max")
-    before = is_total & (events["seq"] < last_done)
-    after = is_total & ~before
-    others = events[~is_total].drop_duplicates(["job_id", "kind"], keep="last")
-    return pd.concat([others, events[before].drop_duplicates("job_id", keep="last"), events[after]])
-
-
-def _thin_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        if len(batch):
-            yield thinned(batch)
-
-
-def _text(value: object) -> str:
-    return value if isinstance(value, str) else ""
-
 
-class SnapshotProcessor(StatefulProcessor):
-    """Applies a job's new events to its snapshot."""
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        merged = with_optional_columns(batch).select(*[F.col(f.name).cast(f.dataType) for f in EVENT_SCHEMA.fields])
+        if batch_id:
+            merged = merged.unionByName(_state(spark, path, batch_id - 1))
+        deciding_events(merged).write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
+        job_snapshots(_state(spark, path, batch_id)).write.mode("overwrite").parquet(f"{path}/snapshots/batch={batch_id}")
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("snapshot", _STATE)
+    return events.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        applied, status, stage, processed, total, summary, error = (
-            self._state.get() if self._state.exists() else (-1, "queued", "", 0, 0, "", "")
-        )
-        pending: pd.DataFrame | None = None
-        for chunk in rows:
-            fresh = chunk[chunk["seq"] > applied]
-            pending = thinned(fresh if pending is None else pd.concat([pending, fresh]))
-        if pending is None or pending.empty:
-            return
-        for event in pending.sort_values("seq").itertuples():
-            if event.kind == "total":
-                total = int(event.total)
-            elif event.kind == "progress":
-                status, stage, processed = "running", _text(event.stage), int(event.processed)
-            elif event.kind == "done":
-                status, processed, summary = "done", total, _text(event.summary)
-            elif event.kind == "error":
-                status, error = "error", _text(event.message)
-            applied = int(event.seq)
-        self._state.update((applied, status, stage, processed, total, summary, error))
-        yield pd.DataFrame(
-            [(key[0], status, stage, processed, total, summary, error)],
-            columns=["job_id", "status", "stage", "processed", "total", "summary", "error"],
-        )
 
-    def close(self) -> None:
-        pass
+def _state(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    return spark.read.schema(EVENT_SCHEMA).parquet(f"{path}/state/batch={batch_id}")
 
 
-def stream_job_snapshots(events: DataFrame) -> DataFrame:
-    """One updated snapshot per job and micro-batch, for update mode. Needs the RocksDB state store."""
-    shaped = with_optional_columns(events).select(*[F.col(f.name).cast(f.dataType) for f in EVENT_SCHEMA.fields])
-    snapshots = (
-        shaped.mapInPandas(_thin_batches, EVENT_SCHEMA)
-        .groupBy("job_id")
-        .transformWithStateInPandas(
-            statefulProcessor=SnapshotProcessor(), outputStructType=_OUTPUT, outputMode="Update", timeMode="None"
-        )
-    )
-    return snapshots.withColumn("pct", percent(F.col("processed"), F.col("total"))).select(*SNAPSHOT_COLUMNS)
+def latest_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """The snapshots after the last finished micro-batch."""
+    every = spark.read.parquet(f"{path}/snapshots")
+    last = every.agg(F.max("batch")).first()[0]
+    return every.filter(F.col("batch") == last).drop("batch")

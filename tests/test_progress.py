@@ -2,12 +2,11 @@
 
 import random
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from sievework.operators.progress import job_snapshots
-from sievework.streaming.progress import EVENT_SCHEMA, stream_job_snapshots, thinned
+from sievework.operators.progress import deciding_events, job_snapshots
+from sievework.streaming.progress import EVENT_SCHEMA, latest_snapshots, start_job_snapshots
 
 
 def by_hand(events):
@@ -72,44 +71,32 @@ def test_optional_columns(spark):
     assert job_snapshots(df).first()["error"] == ""
 
 
-def test_thinning_loses_nothing():
-    names = [f.name for f in EVENT_SCHEMA.fields]
-    for seed in range(40):
-        events = random_events(60, 3, seed)
-        parts = [thinned(pd.DataFrame(events[i::4], columns=names)) for i in range(4)]
-        merged = thinned(pd.concat(parts)).sort_values("seq")
-        rows = [tuple(None if pd.isna(v) else v for v in r) for r in merged.itertuples(index=False)]
-        assert by_hand(rows) == by_hand(events)
-        assert len(merged) < len(events)
+def test_deciding_events_are_few_and_enough(spark):
+    for seed in (3, 4):
+        events = random_events(400, 3, seed)
+        first, rest = events[:300], events[300:]
+        few = deciding_events(spark.createDataFrame(first, EVENT_SCHEMA)).collect()
+        assert len(few) <= 5 * 3
+        assert by_hand([*map(tuple, few), *rest]) == by_hand(events)
+
+
+def test_a_job_with_many_totals_is_reduced_before_the_shuffle(spark):
+    events = spark.range(200_000).select(
+        F.lit(1).cast("long").alias("job_id"), F.col("id").alias("seq"), F.lit("total").alias("kind"), F.col("id").alias("total"),
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields[4:]],
+    )
+    few = deciding_events(events)
+    assert [(r["seq"], r["total"]) for r in few.collect()] == [(199_999, 199_999)]
+    assert "Python" not in few._jdf.queryExecution().executedPlan().toString()
 
 
 def test_streaming_form_and_restart(spark, tmp_path):
     events = random_events(600, 12, 5)
     source, checkpoint, out = (str(tmp_path / n) for n in ("events", "checkpoint", "out"))
-    cuts = [0, 200, 260, 450, 600]
-
-    def land(i):
+    cuts = [0, 200, 260, 600]
+    for i in range(len(cuts) - 1):
+        # The query is started anew for each part: its state comes from the folder before.
         part = events[cuts[i] : cuts[i + 1]]
         spark.createDataFrame(random.Random(i).sample(part, len(part)), EVENT_SCHEMA).coalesce(2).write.mode("append").parquet(source)
-
-    latest = {}
-
-    def keep(batch, batch_id):
-        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/{batch_id}")
-        latest.update(as_dicts(batch.collect()))
-
-    for i in range(len(cuts) - 1):
-        # The query is started anew for each part: its state comes from the checkpoint.
-        land(i)
-        stream = spark.readStream.schema(EVENT_SCHEMA).parquet(source)
-        query = (
-            stream_job_snapshots(stream)
-            .writeStream.foreachBatch(keep)
-            .outputMode("update")
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-        assert latest == by_hand(events[: cuts[i + 1]])
-    assert latest == as_dicts(job_snapshots(spark.createDataFrame(events, EVENT_SCHEMA)).collect())
+        start_job_snapshots(spark.readStream.schema(EVENT_SCHEMA).parquet(source), out, checkpoint).awaitTermination()
+        assert as_dicts(latest_snapshots(spark, out).collect()) == by_hand(events[: cuts[i + 1]])
