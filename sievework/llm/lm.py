@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.hashing import word_hashes
-from sievework.llm.tables import stored
+from sievework.llm.tables import scratch, stored
 from sievework.llm.workers import in_groups
 
 _TEXTS_AT_ONCE = 256
@@ -247,7 +247,8 @@ def score_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     vocabulary = Vocabulary(frequent_words(docs, s.words), s)
     flat = Network(s).flat
     for number in range(s.rounds):
-        flat = one_round(docs, vocabulary, flat, s, number)
+        with scratch(docs.sparkSession):
+            flat = one_round(docs, vocabulary, flat, s, number)
 
     def scored(batches):
         network = Network(s, flat)

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from sievework.llm.components import components
 from sievework.llm.hashing import mixed, random_values, shingle_sets, word_hashes
-from sievework.llm.tables import stored
+from sievework.llm.membership import rows_that_may_be_in
+from sievework.llm.tables import scratch, stored
 from sievework.llm.workers import bounds_of, in_groups, matrix_of
 
 _TEXTS_AT_ONCE = 256
@@ -238,6 +239,7 @@ def confirmed_edges(docs: DataFrame, clusters: DataFrame, s: Settings) -> DataFr
     members = clusters.join(sizes, "component").select(F.col("component").alias("cluster"), F.col("node").alias("rep"), "blocks")
     members = stored(members.withColumn("block", block), "clusters")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
+    texts = rows_that_may_be_in(texts, "rep", members.select("rep"))
     rows = texts.join(members, "rep").select("cluster", "rep", "blocks", "block", "text")
     rows = rows.mapInArrow(with_sets, "cluster long, rep long, blocks long, block long, shingles binary")
     rows = stored(rows.filter(F.length("shingles") > 0), "sets")
@@ -287,9 +289,13 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
     The trees find a pair at the threshold but for a chance of about (1 - similarity) ** trees at the first level; deeper
     ones are reached by common passages and large groups only. Shuffled are tokens, not texts, until clusters of possible
-    links are known; of those the sets are shuffled once.
+    links are known; then their texts, and their sets once. All but the result is deleted from the shared folder.
     """
-    s = settings
+    with scratch(docs.sparkSession) as keep:
+        return keep(_near_duplicates(docs, settings), "near-texts")
+
+
+def _near_duplicates(docs: DataFrame, s: Settings) -> DataFrame:
     rows = stored(sketches(docs, s), "sketches")
     same = ["h1", "h2", "n"]
     classes = rows.filter("n > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep"))
@@ -306,9 +312,12 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
 def without_near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` less all but one of each group of near duplicates, and less repeated rows of one doc_id."""
-    gone = stored(near_duplicates(docs, settings).select("doc_id", "kept"), "kept")
-    left = docs.join(gone.filter(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
-    repeated = gone.filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1")
+    known = near_duplicates(docs, settings)
+    gone = known.filter(~F.col("kept")).select("doc_id").distinct()
+    # Most rows are told apart from those that go by a filter, without a shuffle of their texts.
+    left = rows_that_may_be_in(docs, "doc_id", gone, inside=False)
+    left = left.unionByName(rows_that_may_be_in(docs, "doc_id", gone).join(gone, "doc_id", "left_anti").select(*docs.columns))
+    repeated = known.filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1")
     if repeated.isEmpty():
         return left
     named = left.filter("doc_id is not null").dropDuplicates(["doc_id"])

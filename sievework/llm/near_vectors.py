@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sievework.llm.components import components
 from sievework.llm.near_texts import _edge_batch, _star_edges
-from sievework.llm.tables import stored
+from sievework.llm.tables import scratch, stored
 from sievework.llm.vectors import as_binary, drawn, matrix, usable
 from sievework.llm.workers import bounds_of, in_groups, matrix_of
 
@@ -48,7 +48,11 @@ def near_vectors(vectors: DataFrame, settings: Settings = Settings()) -> DataFra
     hold null or non-finite components have no links, nor have rows without vec_id (component_id null, kept true).
     Repeated rows are copies of one another. Other columns are ignored; an empty table gives an empty result.
     """
-    s = settings
+    with scratch(vectors.sparkSession) as keep:
+        return keep(_near_vectors(vectors, settings), "near-vectors")
+
+
+def _near_vectors(vectors: DataFrame, s: Settings) -> DataFrame:
     given = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     rows, width = usable(given)
     key = ["h1", "h2"]

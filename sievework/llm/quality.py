@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.hashing import ngram_hashes, random_values, word_hashes
-from sievework.llm.tables import held_out, stored
+from sievework.llm.tables import held_out
 
 KEEP_AT = 0.3
 SEED = 3
@@ -122,7 +122,8 @@ def learned(docs: DataFrame, labels: DataFrame, settings: Settings) -> np.ndarra
         rows.sort(key=lambda r: (r[0], len(r[1]), r[1].tobytes()))
         yield pa.RecordBatch.from_arrays([pa.array([trained([r[1:] for r in rows], settings).tobytes()], pa.binary())], ["weights"])
 
-    rows = stored(drawn.select("doc_id", "quality_label", F.col("text").cast("string").alias("text")).mapInArrow(sparse, "doc_id long, quality_label int, places binary, values binary"), "sample")
+    rows = drawn.select("doc_id", "quality_label", F.col("text").cast("string").alias("text"))
+    rows = rows.mapInArrow(sparse, "doc_id long, quality_label int, places binary, values binary")
     found = rows.repartition(1).mapInArrow(fit, "weights binary").collect()
     return np.frombuffer(found[0]["weights"], np.float32) if found else np.zeros(1 << settings.bits, np.float32)
 

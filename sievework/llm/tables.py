@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,12 +32,32 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
+_SCRATCH: list[str] = []  # folders of the operators that are at work, innermost last
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it: cuts lineage, survives executors, and is computed once."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/sievework-{uuid.uuid4().hex}-{name}"
+    return _written(df, name, _SCRATCH[-1] if _SCRATCH else shared_folder(df.sparkSession))
+
+
+def _written(df: DataFrame, name: str, folder: str) -> DataFrame:
+    path = f"{folder}/sievework-{uuid.uuid4().hex}-{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables stored within are deleted at the end, but for those stored by the function that this gives."""
+    folder = f"{shared_folder(spark)}/sievework-{uuid.uuid4().hex}-scratch"
+    outer = _SCRATCH[-1] if _SCRATCH else shared_folder(spark)
+    _SCRATCH.append(folder)
+    try:
+        yield lambda df, name: _written(df, name, outer)
+    finally:
+        _SCRATCH.pop()
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def held_out(doc_id: Column) -> Column:
