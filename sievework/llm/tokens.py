@@ -5,8 +5,8 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from array import array
 
-import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -159,20 +159,49 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
 
 
 class Identifiers:
-    """Token ids of whole texts, as bytes of 32-bit numbers; the library encodes each text between spaces once."""
+    """Token ids of whole texts, as bytes of 32-bit numbers; the library encodes each text between spaces once.
 
-    def __init__(self, path: str):
+    Since the vocabulary knows lower case only, Latin texts are lower-cased first, and since letters and the signs after
+    them are never one token, they are encoded apart: both make what is new rarer.
+    """
+
+    def __init__(self, path: str, most: int = 1_000_000):
         self.tokenizer = Tokenizer.from_file(path)
+        self.most = most
         self.known: dict[str, bytes] = {}
 
     def of(self, texts: list[str]) -> list[bytes]:
-        split = [between_spaces(t) for t in texts]
-        if len(self.known) > REMEMBERED:
+        split = [between_spaces(_folded(t)) for t in texts]
+        if len(self.known) > self.most:
             self.known = {}
-        new = [w for w in set().union(*split) if w not in self.known]
-        made = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        found = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, made, strict=True)}
-        self.known.update((w, ids) for w, ids in found.items() if len(w) <= _LONGEST)
-        long = {w: ids for w, ids in found.items() if len(w) > _LONGEST}
-        known = self.known if not long else {**self.known, **long}
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        found = [list(map(self.known.get, words)) for words in split]
+        new = {w for words, ids in zip(split, found, strict=True) if None in ids for w, x in zip(words, ids, strict=True) if x is None}
+        made = self._encoded(new)
+        return [
+            b"".join([made[w] if x is None else x for w, x in zip(words, ids, strict=True)] if None in ids else ids)
+            for words, ids in zip(split, found, strict=True)
+        ]
+
+    def _encoded(self, texts: set[str]) -> dict[str, bytes]:
+        cut = {w: (m[1], m[2]) if (m := _WORD_AND_SIGNS.fullmatch(w)) and m[1].isalpha() else (w,) for w in texts}
+        parts = [p for p in {p for ps in cut.values() for p in ps} if p not in self.known]
+        ids = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        made = {p: array("I", e.ids).tobytes() for p, e in zip(parts, ids, strict=True)}
+        self.known.update((p, x) for p, x in made.items() if len(p) <= _LONGEST)
+        out = {w: b"".join([made[p] if p in made else self.known[p] for p in ps]) for w, ps in cut.items()}
+        self.known.update((w, x) for w, x in out.items() if len(w) <= _LONGEST)
+        return out
+
+
+_WORD_AND_SIGNS = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
+
+
+def _folded(text: str) -> str:
+    """Lower case, where that is letter by letter and leaves no sign that an added token would be found in."""
+    if "<|" in text:
+        return text
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
