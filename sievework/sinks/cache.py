@@ -24,8 +24,8 @@ def append_entries(entries: DataFrame, path: str, run_id: str, stage: Stage = WE
 
 def clear_cache(spark: SparkSession, path: str, stage: Stage) -> None:
     """Leave no entries of a stage; other stages keep theirs."""
-    empty = spark.createDataFrame([], cache_schema(stage)).drop("stage", "run_id")
-    empty.write.mode("overwrite").parquet(f"{_folder(path, stage)}")
+    empty = spark.createDataFrame([], cache_schema(stage)).drop("stage")
+    empty.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("run_id").parquet(_folder(path, stage))
 
 
 def delete_keys(cache: DataFrame, keys: DataFrame, new_path: str) -> None:

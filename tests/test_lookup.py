@@ -79,12 +79,12 @@ def test_profiles_and_trimming(spark, tmp_path):
 
 
 def test_answers_are_one_per_key(spark, tmp_path):
-    rows = [("k", "b", None), ("k", "a", None), ("k", None, "Api: down"), ("e", None, "Api: down"), ("w", None, None)]
+    rows = [("k", "b", None), ("k", '{"a":1}', None), ("k", None, "Api: down"), ("e", None, "Api: down"), ("w", None, None)]
     df = spark.createDataFrame(rows, "answer_key string, raw_answer string, failure string")
     df.write.json(str(tmp_path / "a"))
     for answers in (answers_from_replies(df), read_answers(spark, str(tmp_path / "a"), "json")):
         found = {r["answer_key"]: (r["raw_answer"], r["answer_error"]) for r in answers.collect()}
-        assert found == {"k": ("a", None), "e": (None, "api_error: Api: down"), "w": (None, None)}
+        assert found == {"k": ('{"a":1}', None), "e": (None, "api_error: Api: down"), "w": (None, None)}
 
 
 def results(spark, rows):
