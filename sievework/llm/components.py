@@ -24,8 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large, "edges")
+        large = stored(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")), "edges")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         others = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         current = stored(others.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")

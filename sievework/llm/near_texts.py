@@ -32,8 +32,8 @@ class Settings:
     words: int = 5
     percent: int = 80
     tokens: int = 96
-    trees: int = 12
-    leaf: int = 512
+    trees: int = 8
+    leaf: int = 2048
     block: int = 256
     seed: int = 8
 
