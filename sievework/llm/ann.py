@@ -20,8 +20,9 @@ class Settings:
 
     sample: about how many vectors the centroids are fitted on. copies: most lists of one vector. near: how much farther
     than the nearest centroid another list of a vector may be. reach: the same for the lists that a query reads; probes:
-    most of these. beam: centroids that the graph search keeps in view. block: vectors compared with as many queries at
-    once.
+    most of these. beam: centroids that the graph search keeps in view. These three are where the search starts: they are
+    raised until ``recall`` of the neighbours of about ``tried`` queries, known by brute force, is found. block: vectors
+    compared with as many queries at once.
     """
 
     list_size: int = 400
@@ -34,6 +35,8 @@ class Settings:
     reach: float = 0.2
     probes: int = 16
     beam: int = 32
+    recall: float = 0.95
+    tried: int = 128
     degree: int = 16
     block: int = 2048
     batch: int = 1024
@@ -114,6 +117,74 @@ def graph_search(queries: np.ndarray, centroids: np.ndarray, graph: np.ndarray,
     return ids, np.sqrt(d)
 
 
+def _tried(asked: DataFrame, width: int, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """The ids and vectors of about ``tried`` queries, drawn by a hash of the id."""
+    place = F.pmod(F.xxhash64(F.lit(s.seed + 1), "vec_id"), F.lit(1 << 30)) / float(1 << 30)
+    found = asked.filter(place * asked.count() < s.tried).select("vec_id", "value").toArrow()
+    ids, at = np.unique(found["vec_id"].to_numpy(), return_index=True)
+    return ids, matrix(found["value"], width)[at] if len(ids) else np.empty((0, width))
+
+
+def _lists_of_neighbours(rows: DataFrame, lists: DataFrame, tried: np.ndarray, points: np.ndarray, fitted: np.ndarray, k: int, width: int) -> list[list[set[int]]]:
+    """Per tried query the lists of each of its k nearest vectors, by comparison with all of ``rows``.
+
+    A task sends at most k rows a query, and none that is worse than the k nearest of the vectors ``fitted``.
+    """
+    bounds = np.full(len(points), -np.inf)
+    if len(fitted) > k:
+        bounds = np.partition(points @ fitted.T, -k - 1, axis=1)[:, -k - 1]  # the query may be one of them
+        bounds -= 1e-9 * np.maximum(1.0, np.abs(bounds))
+
+    def best(batches):
+        ids, scores = [np.empty(0, np.int64)] * len(points), [np.empty(0)] * len(points)
+        for batch in batches:
+            names, at = np.unique(batch["vec_id"].to_numpy(), return_index=True)
+            found = points @ matrix(batch["value"], width)[at].T
+            for i, query in enumerate(tried.tolist()):
+                hit = np.flatnonzero((found[i] >= bounds[i]) & (names != query))
+                own, first = np.unique(np.append(ids[i], names[hit]), return_index=True)
+                score = np.append(scores[i], found[i][hit])[first]
+                order = np.lexsort((own, -score))[:k]
+                ids[i], scores[i] = own[order], score[order]
+        columns = [np.repeat(tried, [len(x) for x in ids]), np.concatenate([*ids, np.empty(0, np.int64)]), np.concatenate([*scores, np.empty(0)])]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
+
+    found = rows.mapInArrow(best, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    pairs = found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "vec_id").collect()  # k rows a tried query
+    own = lists.sparkSession.createDataFrame(sorted({(r["vec_id"],) for r in pairs}), "vec_id long")
+    of: dict[int, set[int]] = {}
+    for row in lists.select("list", "vec_id").join(own, "vec_id", "left_semi").distinct().collect():
+        of.setdefault(row["vec_id"], set()).add(row["list"])
+    held: dict[int, list[set[int]]] = {q: [] for q in tried.tolist()}
+    for row in pairs:
+        held[row["query_id"]].append(of[row["vec_id"]])
+    return list(held.values())
+
+
+def search_width(points: np.ndarray, held: list[list[set[int]]], centroids: np.ndarray, graph: np.ndarray, s: Settings) -> tuple[float, int, int]:
+    """The reach, probes and beam at which the share ``recall`` of known neighbours is found; held: per point, the lists of each.
+
+    Half of what may be missed is left to the reach, half to the probes. A beam of all centroids finds every list.
+    """
+    level, beam = (1 + s.recall) / 2, min(s.beam, len(centroids))
+    while True:
+        ids, d = graph_search(points, centroids, graph, beam)
+        places, farther = [], []
+        for own, length, lists in zip(ids.tolist(), d.tolist(), held, strict=True):
+            at = {c: k for k, c in enumerate(own) if length[k] < np.inf}
+            for place in (min((at[c] for c in some if c in at), default=None) for some in lists):
+                places.append(np.inf if place is None else place + 1)
+                farther.append(np.inf if place is None or (place and not length[0]) else length[place] / (length[0] or 1) - 1 if place else 0.0)
+        if not places:
+            return s.reach, s.probes, s.beam
+        probes, reach = (float(np.quantile(x, level, method="higher")) for x in (places, farther))
+        if beam == len(centroids) or 2 * probes <= beam or (probes <= s.probes and beam == s.beam):
+            # A little more than the greatest ratio needed, for the rounding of distances.
+            return max(s.reach, reach * (1 + 1e-9) + 1e-9), max(s.probes, int(min(probes, len(centroids)))), max(s.beam, beam)
+        beam = min(len(centroids), 2 * beam)
+
+
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, settings: Settings = Settings()) -> DataFrame:
     """Per query its k nearest vectors found, by largest inner product: query_id, rank (from 1), vec_id, score.
 
@@ -121,8 +192,9 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, sett
     the largest inner product is the least distance. Centroids are fitted on a bounded sample; every vector goes to the
     list of its nearest centroid and, if it lies near a boundary, to those of others that are nearly as near. A query reads
     the lists whose centroids are at most ``reach`` farther than its nearest, ``probes`` at most, and as many more as hold
-    enough candidates. Centroids are found through a graph held in memory, whose size does not
-    grow with the table. Scores are inner products of the original vectors in double precision; ties go to the smaller
+    enough candidates. How far and how many depends on the table: both are raised until ``recall`` of the neighbours of a
+    bounded sample of the queries, compared with all vectors, are in lists that would be read. Centroids are found through
+    a graph held in memory, whose size does not grow with the table. Scores are inner products of the original vectors in double precision; ties go to the smaller
     vec_id. Lists of any size are split into blocks, as are their queries, so none is gathered in one task.
 
     Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part, nor do
@@ -141,7 +213,8 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, sett
         return np.hstack([values, np.sqrt(np.maximum(top - (values * values).sum(1), 0))[:, None]])
 
     n_lists = max(1, min(s.lists, -(-total // s.list_size)))
-    centroids = balanced_centroids(lifted(drawn(rows, s.sample, total, width, s.seed), longest), n_lists, s)
+    fitted = drawn(rows, s.sample, total, width, s.seed)
+    centroids = balanced_centroids(lifted(fitted, longest), n_lists, s)
     graph = centroid_graph(centroids, s)
 
     def posted(batches):
@@ -161,6 +234,11 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, sett
     for row in lists.groupBy("list").agg(F.count("*").alias("n")).collect():  # a row per centroid
         sizes[row["list"]] = row["n"]
     enough = s.copies * (k + 1)
+    reach, probes_, beam = s.reach, s.probes, s.beam
+    if len(centroids) > s.probes:
+        tried, points = _tried(asked, width, s)
+        held = _lists_of_neighbours(rows, lists, tried, points, fitted, k, width)
+        reach, probes_, beam = search_width(np.hstack([points, np.zeros((len(points), 1))]), held, centroids, graph, s)
 
     def probed(batches):
         for whole in batches:
@@ -168,10 +246,10 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20, sett
                 batch = whole.slice(low, s.batch)
                 values = matrix(batch["value"], width)
                 points = np.hstack([values, np.zeros((len(values), 1))])
-                ids, d = graph_search(points, centroids, graph, max(s.beam, min(len(centroids), enough)) if sizes.min() < 2 else s.beam)
+                ids, d = graph_search(points, centroids, graph, max(beam, min(len(centroids), enough)) if sizes.min() < 2 else beam)
                 before = np.cumsum(sizes[ids], axis=1) - sizes[ids]
-                read = d <= (1 + s.reach) * d[:, :1]
-                read[:, s.probes :] = False
+                read = d <= (1 + reach) * d[:, :1] if np.isfinite(reach) else np.isfinite(d)
+                read[:, probes_:] = False
                 at, j = np.nonzero(read | (before < enough))
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at, j]), batch["vec_id"].take(pa.array(at)), as_binary(values[at])], ["list", "query_id", "vector"])
 

@@ -299,6 +299,18 @@ def test_nearest_neighbours_against_brute_force(spark):
     assert found / (20 * len(queries)) >= 0.9
 
 
+def test_nearest_neighbours_with_hundreds_of_lists(spark):
+    random = np.random.default_rng(11)
+    values = random.standard_normal((9000, 64))
+    values /= np.linalg.norm(values, axis=1, keepdims=True)
+    df = vectors(spark, [(i, v.tolist()) for i, v in enumerate(values.astype(np.float32))])
+    got = ann.nearest_neighbours(df, df.filter("vec_id % 45 = 0"), k=20, settings=ann.Settings(list_size=30)).collect()
+    exact = values @ values.T
+    np.fill_diagonal(exact, -np.inf)
+    found = sum(r["vec_id"] in set(np.argsort(-exact[r["query_id"]])[:20].tolist()) for r in got)
+    assert found / (20 * 200) >= 0.9
+
+
 def test_nearest_neighbours_of_few_and_none(spark):
     few = vectors(spark, [(i, [float(i), 1.0, -0.5]) for i in range(1, 6)] + [(7, None), (8, [0.0, 0.0, 0.0])])
     got = ann.nearest_neighbours(few, few).collect()
