@@ -15,6 +15,7 @@ DIMENSIONS = 1024
 ORDER = 3
 ROWS_PER_LANGUAGE = 4_000
 LEAST = 0.12  # a filter rejects what is less like any language
+SURE = 100  # and has so many different n-grams: fewer can miss every profile by chance
 UNKNOWN = "und"
 SEED = 7
 _TEXTS_AT_ONCE = 128
@@ -172,6 +173,13 @@ def _predicted(texts: pa.Array, names: list[str], prototypes: np.ndarray, order:
     return langs, np.concatenate(scores)
 
 
+def gram_kinds(text: str, order: int) -> int:
+    """How many different letter n-grams a text has, by the folding of ``bundles``."""
+    body = _letters(np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), np.uint32), per_worker("folded", _folded))
+    body = body[np.append(True, (body[1:] != 0x20) | (body[:-1] != 0x20))]
+    return len(np.unique(np.lib.stride_tricks.sliding_window_view(body, order), axis=0)) if len(body) >= order else 0
+
+
 def known_documents(
     docs: DataFrame,
     least: float = LEAST,
@@ -179,13 +187,21 @@ def known_documents(
     dimensions: int = DIMENSIONS,
     rows_per_language: int = ROWS_PER_LANGUAGE,
     seed: int = SEED,
+    sure: int = SURE,
 ) -> DataFrame:
-    """The rows of ``docs`` in a learned language, with all their columns: not ``und``, and with a score of ``least`` or more."""
+    """The rows of ``docs`` in a learned language, with all their columns: not ``und``, and with a score of ``least`` or more.
+
+    A text of fewer than ``sure`` different n-grams stays whatever its score: a clean word may share no n-gram with what
+    was learned, so its score says nothing against it.
+    """
     names, prototypes = learned(docs, order, dimensions, rows_per_language, seed)
 
     def kept(batches):
         for batch in batches:
             langs, scores = _predicted(batch["text"], names, prototypes, order, dimensions, seed)
-            yield batch.filter(pa.array([k != UNKNOWN and x >= least for k, x in zip(langs, scores.tolist(), strict=True)], pa.bool_()))
+            stays = [k != UNKNOWN and x >= least for k, x in zip(langs, scores.tolist(), strict=True)]
+            for i in np.flatnonzero((scores < least) & (np.array(langs) != UNKNOWN)).tolist():
+                stays[i] = gram_kinds(batch["text"][i].as_py(), order) < sure
+            yield batch.filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)

@@ -197,6 +197,16 @@ def test_language(spark, odd, none):
     assert {(r["lang_pred"], r["score"]) for r in unknown.collect()} == {("und", 0.0)}
 
 
+def test_short_texts_of_a_language_stay(spark):
+    english = ["the", "of", "and", "which", "thing", "there", "with"]
+    rows = [(i, " ".join(english[(i * k) % 7] for k in range(1, 12)), "en", "a") for i in range(200)]
+    short = ["A.", "Jump!", "Quick fox", "Sky", "Über uns", "Zebra", "My name is Bob", "Lucky us", "OK"]
+    foreign = "".join(chr(0x430 + i * i % 31) + (" " if i % 6 == 5 else "") + chr(0x430 + i * 7 % 32) for i in range(400))
+    texts = [(1000 + i, x, "en", "a") for i, x in enumerate(short)] + [(2000, foreign, None, "a"), (2001, "?! 12", None, "a")]
+    kept = {r["doc_id"] for r in language.known_documents(documents(spark, rows + texts)).collect()}
+    assert kept == {*range(200), *range(1000, 1000 + len(short))}
+
+
 # -- near duplicates
 
 
