@@ -18,18 +18,23 @@ _POSITIONS_AT_ONCE = 1 << 14
 _COUNTED_AT_ONCE = 1 << 21
 _BLOCK = 1 << 14  # weights travel in blocks of so many
 _MERGED_AT_ONCE = 64
+_UNITS = float(1 << 32)  # joined logarithms are summed as whole parts, so that sums don't depend on the order
 
 
 @dataclass(frozen=True)
 class Settings:
     """words: frequent words with outputs of their own; buckets: outputs shared by all others, by hash.
 
+    A word of a bucket has the bucket's probability times its share of the bucket's occurrences. held: the counts of words
+    that make up more than 1 / held of all are held by every task (fewer than so many words), the others are joined.
+
     side: words seen on either side. width, hidden: sizes of the network. group: outputs per class of the two-step softmax.
     masked: share of positions learned from in each round, over all documents. rate: step of the updates.
     """
 
     words: int = 3072
     buckets: int = 1024
+    held: int = 1 << 20
     side: int = 2
     width: int = 16
     hidden: int = 32
@@ -119,8 +124,8 @@ def _by_class(klass: np.ndarray):
         yield int(klass[order[low]]), order[low:high]
 
 
-def frequent_words(docs: DataFrame, words: int) -> np.ndarray:
-    """The hashes of the most frequent words of all documents, ties by hash; counts are merged in tasks, then by word."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word (its hash) and times of every word of all documents; counts are merged in tasks, then by word."""
 
     def counted(batches):
         known, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -141,11 +146,41 @@ def frequent_words(docs: DataFrame, words: int) -> np.ndarray:
         yield flushed()
 
     parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(counted, "word long, times long")
-    top = parts.groupBy("word").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "word").limit(words).collect()
+    return parts.groupBy("word").agg(F.sum("times").alias("times"))
+
+
+def frequent_words(counts: DataFrame, words: int) -> np.ndarray:
+    """The hashes of the most frequent words, ties by hash."""
+    top = counts.orderBy(F.desc("times"), "word").limit(words).collect()
     return np.array([r["word"] for r in top], np.int64).view(np.uint64)
 
 
+def bucket_shares(counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """word, times and share (the logarithm of its share of its bucket's occurrences) of all words without an output of their own."""
+    s = vocabulary.s
+
+    def bucketed(batches):
+        for batch in batches:
+            ids = vocabulary.ids(batch["word"].to_numpy().view(np.uint64))
+            others = pa.array(ids >= s.words)
+            yield pa.RecordBatch.from_arrays([batch["word"].filter(others), batch["times"].filter(others), pa.array(ids).filter(others)], ["word", "times", "bucket"])
+
+    words = stored(counts.mapInArrow(bucketed, "word long, times long, bucket long"), "buckets")
+    totals = np.ones(s.outputs)
+    for row in words.groupBy("bucket").agg(F.sum("times").alias("times")).collect():  # a row per bucket
+        totals[row["bucket"]] = row["times"]
+
+    def shared(batches):
+        for batch in batches:
+            share = np.log(batch["times"].to_numpy() / totals[batch["bucket"].to_numpy()])
+            yield pa.RecordBatch.from_arrays([batch["word"], batch["times"], pa.array(share)], ["word", "times", "share"])
+
+    return stored(words.mapInArrow(shared, "word long, times long, share double"), "shares")
+
+
 class Vocabulary:
+    """Ids of words: the frequent ones and buckets of all others."""
+
     def __init__(self, frequent: np.ndarray, s: Settings):
         self.s, self.order = s, np.argsort(frequent)
         self.sorted = frequent[self.order]
@@ -237,21 +272,37 @@ def score_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
     Every word of the whole text is predicted from the words on both sides of it, as if it alone were masked; the
     logarithms of these probabilities are summed, ``score`` is their mean. The vocabulary counts all documents, and each
-    round of learning passes over all of them, masking a share of positions. Nothing but the frequent words and the
-    averaged weights, both of fixed size, comes to the driver.
+    round of learning passes over all of them, masking a share of positions. The network knows frequent words and buckets
+    of all others; within its bucket a word's probability is its share of the bucket's occurrences in all documents, so the
+    probabilities of all words sum to 1. These counts are a table that grows with the vocabulary and is joined to the words
+    that need it. Nothing but the frequent words, the counts of at most ``held`` words, a sum per bucket and the averaged
+    weights, all of bounded size, comes to the driver.
 
     Null, empty and wordless texts: 0 tokens, log_probability 0, score null. Rows are scored one by one, repeated or not;
-    other columns are ignored; an empty table gives an empty result.
+    other columns are ignored; an empty table gives an empty result. The result is stored in the shared folder.
     """
-    s = settings
-    vocabulary = Vocabulary(frequent_words(docs, s.words), s)
+    with scratch(docs.sparkSession) as keep:
+        return keep(_score_documents(docs, settings), "scores")
+
+
+def _score_documents(docs: DataFrame, s: Settings) -> DataFrame:
+    counts = stored(word_counts(docs), "counts")
+    vocabulary = Vocabulary(frequent_words(counts, s.words), s)
     flat = Network(s).flat
     for number in range(s.rounds):
         with scratch(docs.sparkSession):
             flat = one_round(docs, vocabulary, flat, s, number)
+    shares = bucket_shares(counts, vocabulary)
+    least = (counts.agg(F.sum("times")).first()[0] or 0) / s.held
+    held = shares.filter(F.col("times") > least).select("word", "share").toArrow()
+    known = held["word"].to_numpy().view(np.uint64)
+    order = np.argsort(known)
+    known, known_shares = known[order], held["share"].to_numpy()[order]
 
     def scored(batches):
-        network = Network(s, flat)
+        from pyspark import TaskContext
+
+        network, row = Network(s, flat), TaskContext.get().partitionId() << 40
         for whole in batches:
             for low in range(0, whole.num_rows, _TEXTS_AT_ONCE):
                 batch = whole.slice(low, _TEXTS_AT_ONCE)
@@ -261,13 +312,35 @@ def score_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFra
                 for a in range(0, len(ids), _POSITIONS_AT_ONCE):
                     at = np.arange(a, min(a + _POSITIONS_AT_ONCE, len(ids)))
                     found[at] = network.log_probability(neighbours(ids, of, s, at), ids[at])
+                others = np.flatnonzero(ids >= s.words)
+                if len(known):
+                    place = np.minimum(np.searchsorted(known, words[others]), len(known) - 1)
+                    same = known[place] == words[others]
+                    found[others[same]] += known_shares[place[same]]
+                    others = others[~same]
                 counts = np.diff(bounds)
                 sums = np.bincount(of, found, minlength=len(counts))
-                score = np.where(counts > 0, sums / np.maximum(counts, 1), np.nan)
+                others = others[np.lexsort((words[others], of[others]))]
+                first = np.ones(len(others), bool)
+                first[1:] = (words[others][1:] != words[others][:-1]) | (of[others][1:] != of[others][:-1])
+                first = np.flatnonzero(first)
+                times = np.diff(np.append(first, len(others)))
+                cuts = pa.array(np.append(0, np.cumsum(np.bincount(of[others[first]], minlength=len(counts)))).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (words[others[first]].view(np.int64), times.astype(np.int64))]
+                rows = pa.array(np.arange(row, row + len(counts), dtype=np.int64))
+                row += len(counts)
                 yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"], pa.array(counts, pa.int64()), pa.array(sums), pa.array(score, from_pandas=True)],
-                    ["doc_id", "n_tokens", "log_probability", "score"],
+                    [rows, batch["doc_id"], pa.array(counts, pa.int64()), pa.array(sums), *lists],
+                    ["row", "doc_id", "n_tokens", "log_probability", "words", "times"],
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(scored, "doc_id long, n_tokens long, log_probability double, score double")
+    schema = "row long, doc_id long, n_tokens long, log_probability double, words array<long>, times array<long>"
+    rows = stored(rows.mapInArrow(scored, schema), "scored")
+    pairs = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("own")).select("row", F.col("own.words").alias("word"), F.col("own.times").alias("n"))
+    share = F.round(F.col("share") * _UNITS).cast("long")
+    more = pairs.join(shares.select("word", share.alias("share")), "word").groupBy("row").agg((F.sum(F.col("n") * F.col("share")) / _UNITS).alias("more"))
+    total = F.col("log_probability") + F.coalesce("more", F.lit(0.0))
+    rows = rows.select("row", "doc_id", "n_tokens", "log_probability").join(more, "row", "left").withColumn("log_probability", total)
+    score = F.when(F.col("n_tokens") > 0, F.col("log_probability") / F.col("n_tokens"))
+    return rows.select("doc_id", "n_tokens", "log_probability", score.alias("score"))

@@ -62,6 +62,19 @@ def test_network_learns_order(spark):
     assert got[100] > got[101] + 1
 
 
+def test_words_of_a_bucket_have_their_own_probabilities(spark):
+    words = [f"w{i}" for i in range(150)]
+    rows = [(i, w, "en", "a") for i, w in enumerate(words)]
+    rows += [(1000 + i, " ".join(words[:: 1 + i % 5] + ["w77"] * 20), "en", "a") for i in range(30)]
+    rows += [(2000, "w1 w77 w77 w77", "en", "a"), (2001, "w1 w77 w77 w77", "en", "a")]
+    for held in (1 << 20, 40):  # all counts held by tasks; most joined
+        s = lm.Settings(words=16, buckets=16, group=8, batch=64, held=held)
+        got = {r["doc_id"]: r for r in lm.score_documents(documents(spark, rows), s).collect()}
+        assert len(got) == len(rows)
+        assert abs(sum(np.exp(got[i]["log_probability"]) for i in range(150)) - 1) < 1e-4  # all words, of the same neighbours
+        assert got[2000]["log_probability"] == got[2001]["log_probability"]
+
+
 # -- mixing
 
 
