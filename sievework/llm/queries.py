@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievework.llm import ann, chat, language, lm, mixing, near_texts, near_vectors, packing, quality, tokens
+from sievework.llm import alignment, ann, chat, language, lm, mixing, near_texts, near_vectors, packing, quality, tokens
 from sievework.llm.tables import given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,7 +53,11 @@ def op10_chat(spark, sf_dir):
     return chat.formatted(given(spark, sf_dir, "conversations"))
 
 
+def op11_align(spark, sf_dir):
+    return alignment.align(given(spark, sf_dir, "documents"), keep_groups=False).drop("groups")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_masked_pseudo_likelihood, op2_mix_sources, op3_quality, op4_nearest, op5_token_counts, op6_pack, op7_language, op8_near_texts, op9_near_vectors, op10_chat)
+    for f in (op1_masked_pseudo_likelihood, op2_mix_sources, op3_quality, op4_nearest, op5_token_counts, op6_pack, op7_language, op8_near_texts, op9_near_vectors, op10_chat, op11_align)
 }
