@@ -1,7 +1,7 @@
 """Word hashes of whole batches of texts, in numpy.
 
 A batch is worked on as one array of UTF-8 bytes, so no Python code runs per word. A word is a run of bytes other than
-space and 0x09 to 0x0D; A-Z are lower-cased first. Its hash is the sum of a random 64-bit value per byte times a power
+space and 0x09 to 0x0D; A-Z are lower-cased first, if wanted. Its hash is the sum of a random 64-bit value per byte times a power
 that falls with the position, finished by a mixer: equal words have equal hashes, different ones differ but for one
 chance in 2**64 or so a pair.
 """
@@ -33,14 +33,16 @@ def random_values(n: int, seed: int) -> np.ndarray:
     return mixed(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(_POWER) + start)
 
 
-def _byte_values() -> np.ndarray:
+def _byte_values(fold: bool) -> np.ndarray:
     values = random_values(256, 1)
+    if not fold:
+        return values
     upper = np.arange(ord("A"), ord("Z") + 1)
     values[upper] = values[upper + 32]
     return values
 
 
-_VALUES = _byte_values()
+_VALUES = {fold: _byte_values(fold) for fold in (True, False)}
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _CHUNK = 1 << 20
@@ -73,8 +75,8 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, bounds - bounds[0]
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all words in order, and each text's bounds in them."""
+def word_hashes(texts: pa.Array, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words in order, and each text's bounds in them. Without ``fold`` A-Z differ from a-z."""
     data, bounds = text_bytes(texts)
     if not len(data):
         return np.empty(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
@@ -98,7 +100,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             to = len(starts)
         low, high = int(starts[at]), int(starts[to]) if to < len(starts) else len(data)
         up, down = (rising, falling) if high - low <= _CHUNK else (_powers(_POWER, high - low), _powers(_INVERSE, high - low))
-        terms = np.where(inside[low:high], _VALUES[data[low:high]], np.uint64(0)) * up[: high - low]
+        terms = np.where(inside[low:high], _VALUES[fold][data[low:high]], np.uint64(0)) * up[: high - low]
         own = starts[at:to] - low
         sums[at:to] = np.add.reduceat(terms, own) * down[own]
         at = to

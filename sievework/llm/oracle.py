@@ -106,9 +106,30 @@ SELECT r.vec_id, coalesce(any_value(c.n), 0) AS n_links, min(r.other) AS compone
 FROM reached r LEFT JOIN counted c ON c.vec_id = r.vec_id GROUP BY r.vec_id
 """
 
+# All windows of 20 words, and the words that a later one covers.
+SUBSTRINGS_SQL = r"""
+WITH worded AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 19), ' ')) AS body FROM worded, range(1, len(w) - 18) AS r(i)
+), placed AS (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY body ORDER BY doc_id, i) AS place FROM windows
+), covered AS (
+    SELECT DISTINCT doc_id, i + step AS i FROM placed, range(20) AS s(step) WHERE place > 1
+), words AS (
+    SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM worded
+), kept AS (
+    SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.i) FILTER (c.i IS NULL) AS body, count(c.i) AS n_removed
+    FROM words w LEFT JOIN covered c ON c.doc_id = w.doc_id AND c.i = w.i GROUP BY w.doc_id
+)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(k.body, '')) AS kept_sha256
+FROM worded w LEFT JOIN kept k ON k.doc_id = w.doc_id
+"""
+
 ORACLE_SQL = {
     "op2_mix_sources": MIX_SQL,
     "op8_near_texts": NEAR_TEXTS_SQL,
     "op9_near_vectors": NEAR_VECTORS_SQL,
     "op10_chat": CHAT_SQL,
+    "op13_substrings": SUBSTRINGS_SQL,
 }
