@@ -126,10 +126,55 @@ SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT A
 FROM worded w LEFT JOIN kept k ON k.doc_id = w.doc_id
 """
 
+# Prefixes of the rebuilt conversations as texts of their turns' hashes; a node adds to all prefixes of its own.
+TRIE_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS said,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), listed AS (
+    SELECT conv_id, list(said ORDER BY place) AS said, list(words ORDER BY place) AS words FROM turns GROUP BY conv_id
+), bits AS (
+    SELECT b, list_reduce([b::UBIGINT, 0, 1, 2, 3, 4, 5, 6, 7], lambda c, step: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END) AS entry
+    FROM range(256) AS r(b)
+), crc_table AS (
+    SELECT list(entry ORDER BY b) AS entries FROM bits
+), taken AS (
+    SELECT conv_id, xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::UBIGINT)),
+        lambda c, x: xor(c // 256, entries[(xor(c, x) % 256 + 1)::BIGINT])), 4294967295::UBIGINT) % 4 AS h
+    FROM listed, crc_table
+), rebuilt AS (
+    SELECT l.conv_id, list_concat(coalesce(list_slice(b.said, 1, t.h::BIGINT), []), list_slice(l.said, (t.h + 1)::BIGINT, len(l.said))) AS said,
+        list_concat(coalesce(list_slice(b.words, 1, t.h::BIGINT), []), list_slice(l.words, (t.h + 1)::BIGINT, len(l.words))) AS words
+    FROM listed l JOIN taken t USING (conv_id) LEFT JOIN listed b ON b.conv_id = l.conv_id - l.conv_id % 20
+), members AS (
+    SELECT conv_id, depth, array_to_string(list_slice(said, 1, depth), ',') AS prefix, array_to_string(list_slice(said, 1, depth - 1), ',') AS parent,
+        CASE WHEN depth > 0 THEN words[depth] ELSE 0 END AS words, depth = len(said) AS ended
+    FROM rebuilt, range(0, len(said) + 1) AS r(depth)
+), nodes AS (
+    SELECT prefix, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+        coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ended), '') AS ends
+    FROM members GROUP BY prefix, depth
+), children AS (
+    SELECT parent, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent, depth
+), full_nodes AS (
+    SELECT nodes.*, coalesce(c.n, 0) AS n_children FROM nodes LEFT JOIN children c ON c.parent = nodes.prefix AND c.depth = nodes.depth
+), sums AS (
+    SELECT up.prefix, up.depth, count(*) FILTER (f.n_children = 0) AS n_leaves, sum((f.n_convs - 1) * f.words) AS saved
+    FROM (SELECT *, left(prefix, greatest(0, 33 * up - 1)::BIGINT) AS above, up FROM full_nodes, range(0, depth + 1) AS r(up)) f
+    JOIN full_nodes up ON up.prefix = f.above AND up.depth = f.up GROUP BY up.prefix, up.depth
+)
+SELECT f.conv_id, f.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved::BIGINT AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM full_nodes f JOIN sums s ON s.prefix = f.prefix AND s.depth = f.depth
+LEFT JOIN full_nodes p ON p.prefix = f.parent AND p.depth = f.depth - 1
+"""
+
 ORACLE_SQL = {
     "op2_mix_sources": MIX_SQL,
     "op8_near_texts": NEAR_TEXTS_SQL,
     "op9_near_vectors": NEAR_VECTORS_SQL,
     "op10_chat": CHAT_SQL,
+    "op12_prefix_trie": TRIE_SQL,
     "op13_substrings": SUBSTRINGS_SQL,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievework.llm import alignment, ann, chat, language, lm, mixing, near_texts, near_vectors, packing, quality, substrings, tokens
+from sievework.llm import alignment, ann, chat, language, lm, mixing, near_texts, near_vectors, packing, prefix_trie, quality, substrings, tokens
 from sievework.llm.tables import given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,11 +57,15 @@ def op11_align(spark, sf_dir):
     return alignment.align(given(spark, sf_dir, "documents"), keep_groups=False).drop("groups")
 
 
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(given(spark, sf_dir, "conversations"), rebuild=True)
+
+
 def op13_substrings(spark, sf_dir):
     return substrings.remove_repeats(given(spark, sf_dir, "documents"), keep_text=False).drop("kept")
 
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_masked_pseudo_likelihood, op2_mix_sources, op3_quality, op4_nearest, op5_token_counts, op6_pack, op7_language, op8_near_texts, op9_near_vectors, op10_chat, op11_align, op13_substrings)
+    for f in (op1_masked_pseudo_likelihood, op2_mix_sources, op3_quality, op4_nearest, op5_token_counts, op6_pack, op7_language, op8_near_texts, op9_near_vectors, op10_chat, op11_align, op12_prefix_trie, op13_substrings)
 }
