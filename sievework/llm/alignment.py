@@ -22,8 +22,9 @@ from sievework.llm.workers import per_worker
 
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 HELD = 1 << 19  # pairs whose counts travel with the tasks; the counts of others are joined
-_BYTES = 48 << 20  # of remembered units a worker keeps, about
-_TEXTS_AT_ONCE, _CHARS_AT_ONCE = 64, 1 << 20
+_BYTES = 128 << 20  # of remembered units a worker keeps, about
+_UNIT = 300  # bytes of an entry, besides its strings and links
+_TEXTS_AT_ONCE, _CHARS_AT_ONCE = 256, 1 << 20
 _SPACE = "▁"  # how pieces spell a space
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -116,6 +117,25 @@ class Aligner:
         # Per unit: A tokens, B tokens, groups, links; all units' links one after the other, as a << 32 | b.
         self.counts = [_Grown(np.int64) for _ in range(4)]
         self.links = _Grown(np.int64)
+        self.uses = _Grown(np.int64)
+
+    def shrink(self) -> None:
+        """Forgets all units but the most used, half of what may be kept; all get new numbers."""
+        names, spelled, uses = list(self.known), self.spelled, self.uses.now()
+        sizes = np.array([_UNIT + len(u) + len(s) for u, s in zip(names, spelled, strict=True)]) + 8 * self.counts[3].now()
+        sizes[list(self.bad)] = _BYTES
+        order = np.argsort(-uses, kind="stable")
+        keep = np.sort(order[np.cumsum(sizes[order]) <= _BYTES // 2])
+        counts, links = [column.now()[keep] for column in self.counts], self.links.now()
+        links = links[np.isin(np.repeat(np.arange(len(names)), self.counts[3].now()), keep)]
+        uses = uses[keep] // 2
+        self.clear()
+        at = keep.tolist()
+        self.known = {names[i]: k for k, i in enumerate(at)}
+        self.spelled = [spelled[i] for i in at]
+        self.size = int(sizes[keep].sum())
+        for column, values in zip((*self.counts, self.links, self.uses), (*counts, links, uses), strict=True):
+            column.add(values)
 
     def units(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The units of all texts, as numbers, and each text's bounds in them; a text that has no tokens has none."""
@@ -129,6 +149,7 @@ class Aligner:
             found = [[] if not self.bad.isdisjoint(ids) else ids for ids in found]
         lengths = [len(ids) for ids in found]
         flat = np.fromiter((i for ids in found for i in ids), np.int64, sum(lengths))
+        np.add.at(self.uses.now(), flat, 1)
         return flat, np.append(0, np.cumsum(lengths)).astype(np.int64)
 
     def _learn(self, units: list[str]) -> None:
@@ -144,7 +165,7 @@ class Aligner:
                 self.known[u] = len(self.spelled)
                 self.bad.add(len(self.spelled))
                 self.spelled.append("")
-                for column in self.counts:
+                for column in (*self.counts, self.uses):
                     column.add([0])
 
     def _encoded(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -179,7 +200,8 @@ class Aligner:
         for u, low, high in zip(units, bounds[2][0].tolist(), bounds[2][1].tolist(), strict=True):
             self.known[u] = len(self.spelled)
             self.spelled.append(";".join(groups[low:high]))
-        self.size += 3 * len(data) + sum(map(len, self.spelled[-len(units) :])) + 8 * len(pairs) + 400 * len(units)
+        self.uses.add(np.zeros(len(units), np.int64))
+        self.size += len(data) + sum(map(len, self.spelled[-len(units) :])) + 8 * len(pairs) + _UNIT * len(units)
         return True
 
 
@@ -217,7 +239,7 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         for batch in _slices(batches):
             if aligner.size > _BYTES:
                 yield from told()
-                aligner.clear()
+                aligner.shrink()
                 times = np.zeros(0, np.int64)
             ids, _ = aligner.units(batch["text"].to_pylist())
             if len(aligner.spelled) > len(times):
@@ -280,7 +302,7 @@ def _aligned(docs: DataFrame, a_path: str, b_path: str, held: int, keep_groups:
         sums, done = None, 0
         for batch in _slices(batches):
             if aligner.size > _BYTES:
-                aligner.clear()
+                aligner.shrink()
                 sums = None
             texts = batch["text"].to_pylist()
             ids, bounds = aligner.units(texts)
