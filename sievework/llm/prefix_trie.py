@@ -15,7 +15,7 @@ from sievework.llm.running import running
 from sievework.llm.tables import scratch, stored
 from sievework.llm.workers import bounds_of, in_groups
 
-MOST_TURNS = 1 << 14  # turns of a shard
+MOST_TURNS = 1 << 10  # turns of a shard
 IDS_PER_BLOCK = 4096
 _NODE = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "end_id", "end_convs"]
 _TOP = ["p1", "p2", "up1", "up2", "before", "node_words"]
