@@ -10,7 +10,6 @@ import re
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,13 +17,13 @@ from tokenizers import Tokenizer
 
 from sievework.llm.tables import scratch, stored
 from sievework.llm.tokens import byte_letters
-from sievework.llm.workers import per_worker
+from sievework.llm.workers import per_worker, text_slices
 
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 HELD = 1 << 19  # pairs whose counts travel with the tasks; the counts of others are joined
 _BYTES = 128 << 20  # of remembered units a worker keeps, about
 _UNIT = 300  # bytes of an entry, besides its strings and links
-_TEXTS_AT_ONCE, _CHARS_AT_ONCE = 256, 1 << 20
+_TEXT_BYTES = 1 << 20  # of texts worked on at once
 _SPACE = "▁"  # how pieces spell a space
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -205,17 +204,6 @@ class Aligner:
         return True
 
 
-def _slices(batches):
-    for whole in batches:
-        lengths = np.cumsum(pa.compute.utf8_length(whole["text"]).fill_null(0).to_numpy().astype(np.int64))
-        low = 0
-        while low < whole.num_rows:
-            before = lengths[low - 1] if low else 0
-            high = min(low + _TEXTS_AT_ONCE, max(low + 1, int(np.searchsorted(lengths, before + _CHARS_AT_ONCE, "right"))))
-            yield whole.slice(low, high - low)
-            low = high
-
-
 def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     known, at = np.unique(keys, return_inverse=True)
     return known, np.bincount(at, values, len(known)).astype(np.int64)
@@ -236,7 +224,7 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
             for low in range(0, len(pairs), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[low : low + (1 << 16)]), pa.array(sums[low : low + (1 << 16)])], ["pair", "n"])
 
-        for batch in _slices(batches):
+        for batch in text_slices(batches, most_bytes=_TEXT_BYTES):
             if aligner.size > _BYTES:
                 yield from told()
                 aligner.shrink()
@@ -300,7 +288,7 @@ def _aligned(docs: DataFrame, a_path: str, b_path: str, held: int, keep_groups:
         row = TaskContext.get().partitionId() << 40
         aligner = per_worker(("aligner", a_path, b_path), lambda: Aligner(a_path, b_path))
         sums, done = None, 0
-        for batch in _slices(batches):
+        for batch in text_slices(batches, most_bytes=_TEXT_BYTES):
             if aligner.size > _BYTES:
                 aligner.shrink()
                 sums = None

@@ -90,7 +90,7 @@ def word_hashes(texts: pa.Array, fold: bool = True) -> tuple[np.ndarray, np.ndar
     if not len(starts):
         return np.empty(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
     sums = np.empty(len(starts), np.uint64)
-    rising, falling = per_worker(("powers", _CHUNK), _rising_and_falling)  # too large to travel with every task
+    rising, falling = per_worker(("powers", _CHUNK), _rising_and_falling, shared=True)  # too large to travel with every task
     at = 0
     while at < len(starts):  # pieces of about _CHUNK bytes that end where words end
         to = max(at + 1, int(np.searchsorted(starts, starts[at] + _CHUNK, side="right")) - 1)

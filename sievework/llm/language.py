@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sievework.llm.hashing import mixed, random_values
 from sievework.llm.tables import held_out
-from sievework.llm.workers import per_worker
+from sievework.llm.workers import per_worker, text_slices
 
 DIMENSIONS = 1024
 ORDER = 3
@@ -19,6 +19,7 @@ SURE = 100  # and has so many different n-grams: fewer can miss every profile by
 UNKNOWN = "und"
 SEED = 7
 _TEXTS_AT_ONCE = 128
+_BYTES_AT_ONCE = 1 << 19
 _GRAMS_AT_ONCE = 4096
 
 
@@ -106,13 +107,11 @@ def learned(docs: DataFrame, order: int, dimensions: int, rows_per_language: int
 
     def summed(batches):
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
-            texts, langs = batch["text"].to_pylist(), batch["lang"].to_pylist()
-            for low in range(0, len(texts), _TEXTS_AT_ONCE):
-                found, known = bundles(texts[low : low + _TEXTS_AT_ONCE], order, dimensions, seed)
-                for vector, lang, ok in zip(found, langs[low:], known, strict=False):
-                    if ok:
-                        sums[lang] = sums.get(lang, 0) + vector / np.linalg.norm(vector)
+        for batch in text_slices(batches, "text", _TEXTS_AT_ONCE, _BYTES_AT_ONCE):
+            found, known = bundles(batch["text"].to_pylist(), order, dimensions, seed)
+            for vector, lang, ok in zip(found, batch["lang"].to_pylist(), known, strict=True):
+                if ok:
+                    sums[lang] = sums.get(lang, 0) + vector / np.linalg.norm(vector)
         names = list(sums)
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()), pa.array([[float(x) for x in sums[k]] for k in names], pa.list_(pa.float64()))], ["lang", "sums"]
@@ -160,8 +159,8 @@ def identify(
 
 def _predicted(texts: pa.Array, names: list[str], prototypes: np.ndarray, order: int, dimensions: int, seed: int) -> tuple[list[str], np.ndarray]:
     langs, scores = [], [np.empty(0)]
-    for low in range(0, len(texts), _TEXTS_AT_ONCE):
-        found, known = bundles(texts.slice(low, _TEXTS_AT_ONCE).to_pylist(), order, dimensions, seed)
+    for part in text_slices([pa.RecordBatch.from_arrays([texts], ["text"])], "text", _TEXTS_AT_ONCE, _BYTES_AT_ONCE):
+        found, known = bundles(part["text"].to_pylist(), order, dimensions, seed)
         lengths = np.linalg.norm(found, axis=1)
         known &= (lengths > 0) & bool(names)
         best, score = np.zeros(len(found), int), np.zeros(len(found))

@@ -7,14 +7,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.components import components
 from sievework.llm.hashing import mixed, random_values, shingle_sets, word_hashes
 from sievework.llm.membership import rows_that_may_be_in
 from sievework.llm.tables import scratch, stored
-from sievework.llm.workers import bounds_of, in_groups, matrix_of
+from sievework.llm.workers import bounds_of, in_groups, matrix_of, text_slices
 
 _TEXTS_AT_ONCE = 256
 _SHINGLES_AT_ONCE = 4096
@@ -37,6 +37,12 @@ class Settings:
     block: int = 256
     seed: int = 8
 
+    def __post_init__(self):
+        # What shares less than 0.4 with a pivot can't be linked with what is nearly equal to the pivot, see
+        # candidate_edges; that takes links of at least (1 + 0.4) / 2 and some room for the estimate's spread.
+        if self.percent < 75:
+            raise ValueError("percent must be at least 75")
+
     def matches(self, similarity: float) -> int:
         """Tokens that two sets of this similarity share at least, but for five standard deviations."""
         spread = math.sqrt(similarity * (1 - similarity) / self.tokens)
@@ -44,34 +50,38 @@ class Settings:
 
 
 def sketches(docs: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, n (distinct shingles), h1 and h2 (which tell different sets apart) and the minwise tokens of each row."""
+    """doc_id, digest1 and digest2 (of the text), n (distinct shingles), h1 and h2 (which tell different sets apart) and the
+    minwise tokens of each row."""
     factors = (random_values(s.tokens, s.seed) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
     shifts = (random_values(s.tokens, s.seed + 1) >> np.uint64(32)).astype(np.uint32)
-    salts = random_values(2, s.seed + 2)
 
     def sketched(batches):
-        for whole in batches:
-            for low in range(0, whole.num_rows, _TEXTS_AT_ONCE):
-                batch = whole.slice(low, _TEXTS_AT_ONCE)
-                words, bounds = word_hashes(batch["text"])
-                sets = shingle_sets(words, bounds, s.words)
-                tokens, hashes = [], np.zeros((len(sets), 2), np.uint64)
-                for i, own in enumerate(sets):
-                    if not len(own):
-                        tokens.append(b"")
-                        continue
-                    hashes[i] = [mixed(own ^ salt).sum(dtype=np.uint64) for salt in salts]
-                    short = (own >> np.uint64(32)).astype(np.uint32)
-                    least = [
-                        (short[a : a + _SHINGLES_AT_ONCE, None] * factors + shifts).min(0) for a in range(0, len(own), _SHINGLES_AT_ONCE)
-                    ]
-                    tokens.append(np.minimum.reduce(least).astype("<u4").tobytes())
-                hashes = mixed(hashes).view(np.int64)
-                columns = [batch["doc_id"], pa.array([len(x) for x in sets], pa.int64()), pa.array(hashes[:, 0]), pa.array(hashes[:, 1]), pa.array(tokens, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "h1", "h2", "tokens"])
+        for batch in text_slices(batches, "text", _TEXTS_AT_ONCE):
+            sets = shingle_sets(*word_hashes(batch["text"]), s.words)
+            tokens = []
+            for own in sets:
+                if not len(own):
+                    tokens.append(b"")
+                    continue
+                short = (own >> np.uint64(32)).astype(np.uint32)
+                least = [(short[a : a + _SHINGLES_AT_ONCE, None] * factors + shifts).min(0) for a in range(0, len(own), _SHINGLES_AT_ONCE)]
+                tokens.append(np.minimum.reduce(least).astype("<u4").tobytes())
+            hashes = set_hashes(sets, s)
+            columns = [batch["doc_id"], batch["digest1"], batch["digest2"], pa.array([len(x) for x in sets], pa.int64()), *hashes, pa.array(tokens, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest1", "digest2", "n", "h1", "h2", "tokens"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(sketched, "doc_id long, n long, h1 long, h2 long, tokens binary")
+    return rows.select("*", *_digests()).mapInArrow(sketched, "doc_id long, digest1 long, digest2 long, n long, h1 long, h2 long, tokens binary")
+
+
+def _digests() -> list[Column]:
+    return [F.xxhash64(F.lit(k), F.col("text").cast("string")).alias(f"digest{k}") for k in (1, 2)]
+
+
+def set_hashes(sets: list[np.ndarray], s: Settings) -> list[pa.Array]:
+    """Two hashes of each set, the same in whatever order it is added up."""
+    hashes = [[mixed(own ^ salt).sum(dtype=np.uint64) for own in sets] for salt in random_values(2, s.seed + 2)]
+    return [pa.array(mixed(np.array(x, np.uint64)).view(np.int64)) for x in hashes]
 
 
 def _children(paths: np.ndarray, tokens: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -218,29 +228,33 @@ def _set_edges(table: pa.Table, keys: list[str], percent: int) -> pa.RecordBatch
     return _edge_batch(edges)
 
 
-def confirmed_edges(docs: DataFrame, clusters: DataFrame, s: Settings) -> DataFrame:
+def confirmed_edges(docs: DataFrame, classes: DataFrame, clusters: DataFrame, s: Settings) -> DataFrame:
     """Edges (a, b) that connect exactly what links connect, from clusters (node, component) that no link leaves.
 
+    ``classes`` tells each node's document (rep) and the hashes of its set, by which its text is known.
+
     A cluster of up to ``block`` documents is one group. A larger one is dealt into blocks, each compared with itself and
     the first; after that most documents of a cluster belong to one component. All that don't are compared with every
     block. A pair is left out only if it is within that component, where it can't change anything.
     """
 
     def with_sets(batches):
-        for whole in batches:
-            for low in range(0, whole.num_rows, _TEXTS_AT_ONCE):
-                batch = whole.slice(low, _TEXTS_AT_ONCE)
-                sets = shingle_sets(*word_hashes(batch["text"]), s.words)
-                columns = [batch["cluster"], batch["rep"], batch["blocks"], batch["block"], pa.array([x.tobytes() for x in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["cluster", "rep", "blocks", "block", "shingles"])
+        for batch in text_slices(batches, "text", _TEXTS_AT_ONCE):
+            sets = shingle_sets(*word_hashes(batch["text"]), s.words)
+            same = np.logical_and.reduce([h.to_numpy() == batch[f"h{k}"].to_numpy() for k, h in enumerate(set_hashes(sets, s), 1)])
+            columns = [batch["cluster"], batch["node"], batch["blocks"], batch["block"], pa.array([x.tobytes() for x in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["cluster", "rep", "blocks", "block", "shingles"]).filter(pa.array(same))
 
     sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / s.block).alias("blocks"))
     block = F.pmod(F.xxhash64(F.lit(s.seed), "rep"), F.col("blocks"))
     members = clusters.join(sizes, "component").select(F.col("component").alias("cluster"), F.col("node").alias("rep"), "blocks")
     members = stored(members.withColumn("block", block), "clusters")
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
-    texts = rows_that_may_be_in(texts, "rep", members.select("rep"))
-    rows = texts.join(members, "rep").select("cluster", "rep", "blocks", "block", "text")
+    named = members.join(classes.select(F.col("node").alias("rep"), F.col("rep").alias("doc_id"), "h1", "h2"), "rep").withColumnRenamed("rep", "node")
+    named = stored(named, "named")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # Stored, since the join may take no shuffle, and a task would need two Python workers.
+    texts = stored(rows_that_may_be_in(texts, "doc_id", named.select("doc_id")), "texts")
+    rows = texts.join(named, "doc_id").select("cluster", "node", "blocks", "block", "h1", "h2", "text")
     rows = rows.mapInArrow(with_sets, "cluster long, rep long, blocks long, block long, shingles binary")
     rows = stored(rows.filter(F.length("shingles") > 0), "sets")
 
@@ -284,41 +298,62 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
     Texts without words and null texts are linked with nothing. Rows without doc_id take no part: component_id null, kept
     true. Equal sets are one node, so copies cost nothing more; repeated rows are alike in all columns. Rows of one doc_id
-    with different texts are taken as one document where they are compared. Other columns are ignored; an empty table
-    gives an empty result.
+    with different texts are documents of their own. Other columns are ignored; an empty table gives an empty result.
 
     The trees find a pair at the threshold but for a chance of about (1 - similarity) ** trees at the first level; deeper
     ones are reached by common passages and large groups only. Shuffled are tokens, not texts, until clusters of possible
     links are known; then their texts, and their sets once. All but the result is deleted from the shared folder.
     """
     with scratch(docs.sparkSession) as keep:
-        return keep(_near_duplicates(docs, settings), "near-texts")
+        known = _near_duplicates(docs, settings)
+        kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+        return keep(known.select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept), "near-texts")
 
 
 def _near_duplicates(docs: DataFrame, s: Settings) -> DataFrame:
+    """doc_id, digest1, digest2, n, component (a group's name), component_id, and leads: whether the row's set is its component's first of that doc_id."""
     rows = stored(sketches(docs, s), "sketches")
     same = ["h1", "h2", "n"]
     classes = rows.filter("n > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep"))
     classes = stored(classes, "classes")
-    reps = stored(rows.join(classes, same).filter("doc_id = rep").select("rep", "tokens"), "reps")
+    # A node is named by its doc_id; of several sets of one doc_id all but one are named by their hashes.
+    named = classes.groupBy("rep").agg(F.min("h1").alias("first"))
+    node = F.when(F.col("h1") == F.col("first"), F.col("rep")).otherwise(F.xxhash64(*same))
+    classes = stored(classes.join(named, "rep").select(*same, "rep", node.alias("node")), "nodes")
+    reps = rows.join(classes, same).filter("doc_id = rep").select(F.col("node").alias("rep"), "tokens")
+    reps = stored(reps, "reps")
     clusters = stored(components(candidate_edges(reps, s)), "clusters")
-    linked = components(confirmed_edges(docs, clusters, s))
-    classes = classes.join(linked, F.col("rep") == F.col("node"), "left").select(*same, F.coalesce("component", "rep").alias("component"))
+    linked = components(confirmed_edges(docs, classes, clusters, s))
+    classes = stored(classes.join(linked, "node", "left").select(*same, "rep", "node", F.coalesce("component", "node").alias("component")), "linked")
+    smallest = classes.groupBy("component").agg(F.min("rep").alias("component_id"))
+    leading = classes.join(smallest, "component").filter(F.col("rep") == F.col("component_id")).groupBy("component").agg(F.min("node").alias("lead"))
+    classes = classes.join(smallest, "component").join(leading, "component").select(*same, "component", "component_id", (F.col("node") == F.col("lead")).alias("leads"))
     found = rows.drop("tokens").join(classes, same, "left")
-    component = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component")), F.col("doc_id"))
-    found = found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
-    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    component = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component_id")), F.col("doc_id"))
+    leads = F.when(F.col("n") > 0, F.col("leads") & (F.col("doc_id") == F.col("component_id"))).otherwise(True)
+    return found.select("doc_id", "digest1", "digest2", "n", "component", component.alias("component_id"), F.coalesce(leads, F.lit(True)).alias("leads"))
 
 
 def without_near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs`` less all but one of each group of near duplicates, and less repeated rows of one doc_id."""
-    known = near_duplicates(docs, settings)
-    gone = known.filter(~F.col("kept")).select("doc_id").distinct()
-    # Most rows are told apart from those that go by a filter, without a shuffle of their texts.
-    left = rows_that_may_be_in(docs, "doc_id", gone, inside=False)
-    left = left.unionByName(rows_that_may_be_in(docs, "doc_id", gone).join(gone, "doc_id", "left_anti").select(*docs.columns))
-    repeated = known.filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1")
-    if repeated.isEmpty():
-        return left
-    named = left.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(left.filter("doc_id is null"))
+    """The rows of ``docs`` less all but one of each group of near duplicates, with all their columns.
+
+    The one that stays has the group's smallest doc_id; if that has several texts in the group, one set and, of texts of
+    equal sets, one text stays. Equal rows of one doc_id are one document. Rows without doc_id and without words stay.
+    """
+    named = ["doc_id", "digest1", "digest2"]
+    row = F.xxhash64(*named).alias("row")
+    with scratch(docs.sparkSession) as keep:
+        known = _near_duplicates(docs, settings).filter("doc_id is not null")
+        known = known.groupBy(*named).agg(F.max("leads").alias("leads"), F.count("*").alias("rows"), F.max("component").alias("component"), F.max("n").alias("n"))
+        known = stored(known, "known")
+        first = known.filter("leads and n > 0").groupBy("component").agg(F.min(F.xxhash64("digest1", "digest2")).alias("first"))
+        known = known.join(first, "component", "left")
+        stays = F.col("leads") & ((F.col("n") == 0) | (F.xxhash64("digest1", "digest2") == F.col("first")))
+        touched = keep(known.select(*named, "rows", stays.alias("stays")).filter("not stays or rows > 1"), "touched")
+    # Most rows are told apart from those that may go by a filter, without a shuffle of their texts.
+    given = docs.select(F.struct(*docs.columns).alias("given"), F.col("doc_id").cast("long").alias("doc_id"), *_digests()).select("given", *named, row)
+    ids = touched.select(row)
+    left = rows_that_may_be_in(given, "row", ids, inside=False).select("given.*")
+    near = rows_that_may_be_in(given, "row", ids).join(touched.filter("not stays").select(*named), named, "left_anti")
+    once = near.filter("doc_id is not null").dropDuplicates(named).unionByName(near.filter("doc_id is null"))
+    return left.unionByName(once.select("given.*"))

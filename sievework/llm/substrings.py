@@ -8,16 +8,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.hashing import mixed, word_hashes
 from sievework.llm.membership import filter_of, may_hold, rows_that_may_be_in
 from sievework.llm.tables import scratch, stored
-from sievework.llm.workers import bounds_of, in_groups
+from sievework.llm.workers import bounds_of, in_groups, text_slices
 
-_TEXTS_AT_ONCE, _BYTES_AT_ONCE = 256, 1 << 22
 _ROWS_AT_ONCE = 1 << 20  # windows a task compares before it sends what it can't decide
 _RANGE = 1 << 20  # documents of one range of the order
 _BITS = 24  # a place is a document's number times 2**24 plus a word's number; long documents take several numbers
@@ -81,17 +79,6 @@ def _chosen(hashes: np.ndarray, least: np.ndarray, candidate: np.ndarray, length
     return np.flatnonzero((most == hashes) & (most > 0))
 
 
-def _slices(batches) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        sizes = np.cumsum(pa.compute.binary_length(whole["text"]).fill_null(0).to_numpy().astype(np.int64))
-        low = 0
-        while low < whole.num_rows:
-            before = sizes[low - 1] if low else 0
-            high = min(low + _TEXTS_AT_ONCE, max(low + 1, int(np.searchsorted(sizes, before + _BYTES_AT_ONCE, "right"))))
-            yield whole.slice(low, high - low)
-            low = high
-
-
 def _held(parts: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
     return [np.concatenate(x) for x in zip(*parts, strict=True)]
 
@@ -134,7 +121,7 @@ def _level(docs: DataFrame, s: Settings, k: int, known: list[np.ndarray], hits:
     def asked(batches):
         held: list[tuple[np.ndarray, ...]] = []
         waiting = 0
-        for batch in _slices(batches):
+        for batch in text_slices(batches):
             words, bounds = word_hashes(batch["text"], fold=False)
             if len(words) < s.window:
                 continue
@@ -274,7 +261,7 @@ def repeated_ranges(docs: DataFrame, s: Settings) -> DataFrame:
         held: list[tuple[np.ndarray, ...]] = []
         waiting = 0
         half = s.lengths()[-1]
-        for batch in _slices(batches):
+        for batch in text_slices(batches):
             words, bounds = word_hashes(batch["text"], fold=False)
             if len(words) < s.window:
                 continue
@@ -363,12 +350,12 @@ def _without_repeats(docs: DataFrame, s: Settings, keep_text: bool) -> DataFrame
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
 
     def untouched(batches):
-        for batch in _slices(batches):
+        for batch in text_slices(batches):
             own = batch.filter(pa.array(~may_hold(bits, batch["row"].to_numpy())))
             yield told(own, [None] * own.num_rows)
 
     def touched(batches):
-        for batch in _slices(batches):
+        for batch in text_slices(batches):
             yield told(batch, batch["ranges"].to_pylist())
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"

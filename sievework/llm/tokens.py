@@ -21,6 +21,7 @@ VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 REMEMBERED = 400_000  # texts between spaces whose counts a worker keeps
 _LONGEST = 64  # longer ones are not kept
+_ENTRY = 190  # bytes of an entry besides its text and value
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -162,18 +163,19 @@ class Identifiers:
     """Token ids of whole texts, as bytes of 32-bit numbers; the library encodes each text between spaces once.
 
     Since the vocabulary knows lower case only, Latin texts are lower-cased first, and since letters and the signs after
-    them are never one token, they are encoded apart: both make what is new rarer.
+    them are never one token, they are encoded apart: both make what is new rarer. What is remembered takes about
+    ``most`` bytes at most.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 96 << 20):
         self.tokenizer = Tokenizer.from_file(path)
-        self.most = most
+        self.most, self.size = most, 0
         self.known: dict[str, bytes] = {}
 
     def of(self, texts: list[str]) -> list[bytes]:
         split = [between_spaces(_folded(t)) for t in texts]
-        if len(self.known) > self.most:
-            self.known = {}
+        if self.size > self.most:
+            self.known, self.size = {}, 0
         found = [list(map(self.known.get, words)) for words in split]
         new = {w for words, ids in zip(split, found, strict=True) if None in ids for w, x in zip(words, ids, strict=True) if x is None}
         made = self._encoded(new)
@@ -187,11 +189,16 @@ class Identifiers:
         parts = [p for p in {p for ps in cut.values() for p in ps} if p not in self.known]
         ids = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         made = {p: array("I", e.ids).tobytes() for p, e in zip(parts, ids, strict=True)}
-        self.known.update((p, x) for p, x in made.items() if len(p) <= _LONGEST)
+        self._remember(made)
         out = {w: b"".join([made[p] if p in made else self.known[p] for p in ps]) for w, ps in cut.items()}
-        self.known.update((w, x) for w, x in out.items() if len(w) <= _LONGEST)
+        self._remember(out)
         return out
 
+    def _remember(self, made: dict[str, bytes]) -> None:
+        new = {p: x for p, x in made.items() if len(p) <= _LONGEST and p not in self.known}
+        self.known.update(new)
+        self.size += sum(_ENTRY + 2 * len(p) + len(x) for p, x in new.items())
+
 
 _WORD_AND_SIGNS = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
 

@@ -2,21 +2,43 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 
 
-def per_worker(key, make: Callable):
-    """``make()``, once per worker process: functions of this package arrive anew with each task, modules stay."""
-    held = sys.modules.setdefault("_sievework_worker", types.ModuleType("_sievework_worker")).__dict__
+def per_worker(key, make: Callable, shared: bool = False):
+    """``make()``, once per worker process: functions of this package arrive anew with each task, modules stay.
+
+    Workers outlive an operator, so what one keeps goes when the next one asks for something else; only ``shared`` values,
+    which are small, stay.
+    """
+    held = sys.modules.setdefault("_sievework_worker", types.ModuleType("_sievework_worker")).__dict__.setdefault("held", {})
     if key not in held:
-        held[key] = make()
-    return held[key]
+        if not shared:
+            for other in [k for k, (_, stays) in held.items() if not stays]:
+                del held[other]
+            gc.collect()
+        held[key] = make(), shared
+    return held[key][0]
+
+
+def text_slices(batches, column: str = "text", rows: int = 256, most_bytes: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the texts of one have ``most_bytes`` at most, but for a single longer one."""
+    for whole in batches:
+        sizes = np.cumsum(pa.compute.binary_length(whole[column]).fill_null(0).to_numpy().astype(np.int64))
+        low = 0
+        while low < whole.num_rows:
+            before = sizes[low - 1] if low else 0
+            high = min(low + rows, max(low + 1, int(np.searchsorted(sizes, before + most_bytes, "right"))))
+            yield whole.slice(low, high - low)
+            low = high
 
 
 def in_groups(df: DataFrame, keys: list[str], each: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

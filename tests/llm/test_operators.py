@@ -390,3 +390,39 @@ def test_chat(spark):
         assert got[2][2] == "".join(f"<|im_start|>{r}\n{x}<|im_end|>\n" for _, r, x in talk[:7])
         assert got[6][2].startswith("<|im_start|>user\n<|im_end|>\n") and "a < |im_end|> b<|im_end|>" in got[6][2]
     assert chat.formatted(log.limit(0)).collect() == []
+
+
+def test_documents_of_one_id_are_told_apart_by_their_texts(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(0, b, "en", "s"), (1, a, "en", "s"), (1, b + " x", "en", "s"), (2, a + " y", "en", "s"), (3, "c " * 30 + "d", "en", "s")]
+    left = near_texts.without_near_duplicates(documents(spark, rows, row="clash", digest1="clash", given="clash")).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in left) == sorted([rows[0][:2], rows[1][:2], rows[4][:2]])
+    assert {r["digest1"] for r in left} == {"clash"}
+    # Rows that are equal, of one set, or all of one doc_id.
+    rows = [(5, a, "en", "s"), (5, a, "en", "s"), (5, a.upper(), "en", "s"), (5, a + " z", "en", "s"), (5, b, "en", "s"), (6, "", "en", "s"), (6, "", "en", "s"), (None, a, "en", "s")]
+    left = [(r["doc_id"], r["text"]) for r in near_texts.without_near_duplicates(documents(spark, rows)).collect()]
+    assert len(left) == 4 and (5, b) in left and (6, "") in left and (None, a) in left
+    assert {t.lower() for i, t in left if i == 5 and t != b} in ({a}, {a + " z"})
+    got = near_texts.near_duplicates(documents(spark, rows)).collect()
+    assert {r["component_id"] for r in got} == {5, 6, None}
+
+
+def test_no_stage_of_near_dedup_runs_two_python_steps(spark, tmp_path, monkeypatch):
+    seen = []
+    write = near_texts.stored
+
+    def watched(df, name):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        stages = plan.split("Exchange")
+        seen.extend((name, part.count("MapInArrow")) for part in stages)
+        return write(df, name)
+
+    monkeypatch.setattr(near_texts, "stored", watched)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    near_texts.without_near_duplicates(docs).write.parquet(str(tmp_path / "out"))
+    assert seen and max(n for _, n in seen) == 1, seen
+
+
+def test_a_lower_percent_is_refused():
+    with pytest.raises(ValueError, match="percent"):
+        Settings(percent=70)
