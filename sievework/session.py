@@ -12,6 +12,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Replies may repeat a JSON key; the last one wins.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Rows travel to Python in batches of so many bytes at most, however long texts are.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
