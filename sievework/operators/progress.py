@@ -76,21 +76,3 @@ def job_snapshots(events: DataFrame) -> DataFrame:
         F.coalesce("error", F.lit("")).alias("error"),
     )
     return snapshots.withColumn("pct", percent(F.col("processed"), F.col("total"))).select(*SNAPSHOT_COLUMNS)
-
-
-def deciding_events(events: DataFrame) -> DataFrame:
-    """The few events of each job that decide its snapshot, whatever later events are added.
-
-    The last one of every kind, and the last total before the last 'done'. Both are aggregates that combine before the
-    shuffle, so a job that owns most of the log leaves a task as a few rows.
-    """
-    columns = events.columns
-
-    def last(rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), "seq").alias("event")).select("event.*")
-
-    latest = last(events, "job_id", "kind")
-    cut = latest.filter(F.col("kind") == "done").select("job_id", F.col("seq").alias("done_seq"))
-    totals = spread_left_join(events.filter(F.col("kind") == "total"), cut, "job_id", "seq")
-    before = last(totals.filter(F.col("seq") < F.col("done_seq")), "job_id")
-    return latest.unionByName(before).distinct()

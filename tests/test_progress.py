@@ -3,9 +3,7 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
-from sievework.operators.progress import deciding_events, job_snapshots
+from sievework.operators.progress import job_snapshots
 from sievework.streaming.progress import EVENT_SCHEMA, latest_snapshots, start_job_snapshots
 
 
@@ -71,32 +69,33 @@ def test_optional_columns(spark):
     assert job_snapshots(df).first()["error"] == ""
 
 
-def test_deciding_events_are_few_and_enough(spark):
-    for seed in (3, 4):
-        events = random_events(400, 3, seed)
-        first, rest = events[:300], events[300:]
-        few = deciding_events(spark.createDataFrame(first, EVENT_SCHEMA)).collect()
-        assert len(few) <= 5 * 3
-        assert by_hand([*map(tuple, few), *rest]) == by_hand(events)
-
-
-def test_a_job_with_many_totals_is_reduced_before_the_shuffle(spark):
-    events = spark.range(200_000).select(
-        F.lit(1).cast("long").alias("job_id"), F.col("id").alias("seq"), F.lit("total").alias("kind"), F.col("id").alias("total"),
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields[4:]],
-    )
-    few = deciding_events(events)
-    assert [(r["seq"], r["total"]) for r in few.collect()] == [(199_999, 199_999)]
-    assert "Python" not in few._jdf.queryExecution().executedPlan().toString()
-
-
-def test_streaming_form_and_restart(spark, tmp_path):
-    events = random_events(600, 12, 5)
-    source, checkpoint, out = (str(tmp_path / n) for n in ("events", "checkpoint", "out"))
-    cuts = [0, 200, 260, 600]
-    for i in range(len(cuts) - 1):
-        # The query is started anew for each part: its state comes from the folder before.
-        part = events[cuts[i] : cuts[i + 1]]
-        spark.createDataFrame(random.Random(i).sample(part, len(part)), EVENT_SCHEMA).coalesce(2).write.mode("append").parquet(source)
+def stream(spark, parts, folder):
+    """Snapshots after each part, which the query meets as one micro-batch after a restart; the first part as several."""
+    source, checkpoint, out = (str(folder / n) for n in ("events", "checkpoint", "out"))
+    for i, part in enumerate(parts):
+        spark.createDataFrame(part, EVENT_SCHEMA).coalesce(2).write.mode("append").parquet(source)
         start_job_snapshots(spark.readStream.schema(EVENT_SCHEMA).parquet(source), out, checkpoint).awaitTermination()
-        assert as_dicts(latest_snapshots(spark, out).collect()) == by_hand(events[: cuts[i + 1]])
+        yield as_dicts(latest_snapshots(spark, out).collect()), spark.read.parquet(out + "/snapshots").filter(f"batch = {i}").count()
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_streaming_form_equals_the_batch_form_for_any_split_and_order(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    events = random_events(500, 15, seed)
+    rng.shuffle(events)  # late events of every kind, late 'done' between totals already seen
+    cuts = sorted(rng.sample(range(1, 500), 3))
+    parts = [events[a:b] for a, b in zip([0, *cuts], [*cuts, 500], strict=True)]
+    seen = []
+    for part, (found, written) in zip(parts, stream(spark, parts, tmp_path), strict=True):
+        seen += part
+        assert found == by_hand(seen)
+        assert written == len({e[0] for e in part})  # touched jobs only
+
+
+def test_a_done_event_that_comes_late_finds_its_total(spark, tmp_path):
+    def event(seq, kind, total=None):
+        return (1, seq, kind, total, None, None, "s" if kind == "done" else None, None)
+
+    parts = [[event(2, "total", 100), event(4, "total", 200)], [event(3, "done")], [event(1, "total", 7)], [event(5, "done"), event(9, "total", 50)], [event(7, "total", 60)]]
+    found = [f[1] for f, _ in stream(spark, parts, tmp_path)]
+    assert [(r["processed"], r["total"], r["pct"]) for r in found] == [(0, 200, 0.0), (100, 200, 50.0), (100, 200, 50.0), (200, 50, 400.0), (200, 50, 400.0)]
