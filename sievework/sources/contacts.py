@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievework.functions.text import WHITESPACE
 from sievework.operators.contacts import add_optional_columns, require_columns
+from sievework.sources.records import csv_records
 
 RAW_RECORD = "_corrupt_record"
 
@@ -32,22 +33,16 @@ def _distinct_names(headers: list[str]) -> list[str]:
 def read_contacts(spark: SparkSession, path: str, multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
     """Contacts, and the raw records that hold more fields than the header.
 
-    Files are read whole by one task each while fields may contain line breaks; pass ``multi_line=False``
-    for large files known to have none, so that they are split. In a folder every file must have the same header;
-    one that has not fails the read rather than filling the wrong columns.
+    A file is read by as many tasks as its size asks for, also where fields contain line breaks. That takes a pass more
+    over the files; ``multi_line=False`` saves it where no field has any. In a folder every file must have the same header; one that
+    has not fails the read rather than filling the wrong columns.
     """
     reader = spark.read.options(multiLine=multi_line, quote='"', escape='"', mode="PERMISSIVE")
     first = reader.option("header", False).csv(path).first()
     if first is None:
         raise ValueError(f"No header line in {path}")
     names = _distinct_names([h or "" for h in first])
-    # Spark compares each file's header with the schema, so that has the headers as they are written.
-    written = [h if h else f"_c{i}" for i, h in enumerate(first)]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*written, RAW_RECORD)])
-    # Every field has to be parsed for a record of wrong length to be noticed.
-    reader = reader.options(header=True, columnNameOfCorruptRecord=RAW_RECORD, columnPruning=False)
-    checked = reader.options(enforceSchema=not all(first))  # a nameless column can't be compared
-    rows = checked.schema(schema).csv(path).toDF(*names, RAW_RECORD)
+    rows = _split_records(spark, path, list(first), names) if multi_line else _lines(reader, path, list(first), names)
 
     # The record is kept for short rows too, which are legal. Commas outside quotes tell the two apart.
     separators = F.regexp_count(F.regexp_replace(RAW_RECORD, '"[^"]*"', ""), F.lit(","))
@@ -59,6 +54,31 @@ def read_contacts(spark: SparkSession, path: str, multi_line: bool = True) -> tu
     return add_optional_columns(require_columns(contacts)), quarantined
 
 
+def _lines(reader: DataFrameReader, path: str, first: list[str | None], names: list[str]) -> DataFrame:
+    """Rows of files whose records are lines."""
+    # Spark compares each file's header with the schema, so that has the headers as they are written.
+    written = [h if h else f"_c{i}" for i, h in enumerate(first)]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*written, RAW_RECORD)])
+    # Every field has to be parsed for a record of wrong length to be noticed.
+    reader = reader.options(header=True, columnNameOfCorruptRecord=RAW_RECORD, columnPruning=False)
+    checked = reader.options(enforceSchema=not all(first))  # a nameless column can't be compared
+    return checked.schema(schema).csv(path).toDF(*names, RAW_RECORD)
+
+
+def _split_records(spark: SparkSession, path: str, first: list[str | None], names: list[str]) -> DataFrame:
+    """Rows of files whose records may be many lines."""
+    fields = [f"c{i}" for i in range(len(names))]
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true", "columnNameOfCorruptRecord": RAW_RECORD}
+    schema = ", ".join(f"{c} string" for c in (*fields, RAW_RECORD))
+    rows = csv_records(spark, path).withColumn("row", F.from_csv("record", F.lit(schema), options))
+    told = F.array(*[F.coalesce(f"row.{c}", F.lit("")) for c in fields])
+    told = F.transform(told, lambda h: F.regexp_replace(h, "^\ufeff", ""))
+    same = (told == F.array(*[F.lit((h or "").removeprefix("\ufeff")) for h in first])) & F.col(f"row.{RAW_RECORD}").isNull()
+    wrong = F.raise_error(F.concat(F.lit("Another header in "), F.col("file"), F.lit(": "), F.col("record"))).cast("boolean")
+    rows = rows.filter(F.when(F.col("header"), F.when(same, False).otherwise(wrong)).otherwise(True))
+    return rows.select(*[F.col(f"row.{c}").alias(n) for c, n in zip((*fields, RAW_RECORD), (*names, RAW_RECORD), strict=True)])
+
+
 def land_contacts(spark: SparkSession, path: str, out: str, multi_line: bool = True) -> DataFrame:
     """Read CSV once, number the contacts, store them as Parquet and return the stored table.
 
