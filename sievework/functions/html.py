@@ -9,8 +9,9 @@ over as NULL, so a table is scanned once and the Python cost follows the number
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from html.entities import html5
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -135,7 +136,7 @@ def _decode_entities(text: Column) -> Column:
 
 @F.pandas_udf(T.StringType())
 def _parsed_text(html: pd.Series) -> pd.Series:
-    """The visible text by a real parser, for the rows that carry markup; NULL elsewhere."""
+    """The visible text by the scanner, for the rows that carry markup; NULL elsewhere."""
     result = pd.Series([None] * len(html), index=html.index, dtype=object)
     present = html.notna()
     if present.any():
@@ -148,75 +149,170 @@ parsed_text = _parsed_text.asNondeterministic()
 
 
 def visible_text(html: str) -> str:
-    """Text of one page of any shape."""
-    collector = _TextCollector()
-    collector.feed(html)
-    collector.close()
-    return " ".join(collector.text().split())
+    """Text of one page of any shape, in time linear in its length."""
+    return " ".join("".join(_Scanner(html).pieces()).split())
 
 
-class _TextCollector(HTMLParser):
-    """Collects text nodes outside unseen elements while tracking which elements are open.
+# Names end where a browser ends them; an attribute is a name and, after '=', a value in quotes or bare.
+_TAG_NAME = re.compile(r"[a-zA-Z][^\t\n\r\f />\x00]*")
+_BETWEEN = re.compile(r"(?:\s|/(?!>))*+")
+_ATTRIBUTE = re.compile(r"[^\s/>][^\s/=>]*+(?:\s*+=+\s*+)?+")
+_BARE_VALUE = re.compile(r"[^>\s]*+")
+_SECTION_NAME = re.compile(r"<!\[([a-zA-Z]*)")
+_CHARACTER = re.compile(r"&#([0-9]+|[xX][0-9a-fA-F]+)(?=[^0-9a-fA-F]);?")
+_ENTITY = re.compile(r"&([a-zA-Z][-.a-zA-Z0-9]*)(?=[^a-zA-Z0-9]);?")
+_SIGN = re.compile(r"[<&]")
+_SPACES = re.compile(r"\s*+")
+_COMMENT_END, _SECTION_END, _CONDITION_END = (re.compile(x) for x in (r"--\s*>", r"\]\s*\]\s*>", r"\]\s*>"))
+_RAW_ELEMENTS = {name: re.compile(rf"</\s*{name}\s*>", re.I) for name in ("script", "style")}
 
-    An end tag closes the nearest open element of its name and everything opened since; one that matches
-    nothing is ignored.
+
+class _Scanner:
+    """Runs through a page once and gives its text nodes outside unseen elements, with spaces where there was markup.
+
+    An end tag closes the nearest open element of its name and everything opened since; one that matches nothing is ignored.
+    What starts like markup but doesn't end is text, up to the next '>' or, without one, up to the next '<', as it stands.
+
+    Nothing is searched for twice: the next place of an end sign is kept until it has been passed, and places inside of
+    a tag from which its end can't be reached are remembered.
     """
 
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=False)
+    def __init__(self, html: str) -> None:
+        self.html = html
+        self._next: dict[object, tuple[int, int]] = {}
+        self._endless: set[int] = set()
         self._open: list[str] = []
+        self._counts: dict[str, int] = {}
         self._unseen = 0
-        self._pieces: list[str] = []
 
-    def text(self) -> str:
-        return "".join(self._pieces)
-
-    def _separate(self) -> None:
-        self._pieces.append(" ")
-
-    def handle_starttag(self, tag, attrs):
-        self._separate()
-        if tag not in VOID_ELEMENTS:
+    def pieces(self) -> Iterator[str]:
+        html, at = self.html, 0
+        while at < len(html):
+            sign = _SIGN.search(html, at)
+            start = sign.start() if sign else len(html)
+            if start > at and not self._unseen:
+                yield html[at:start]
+            if not sign:
+                return
+            text, at = self._markup(start) if html[start] == "<" else self._reference(start)
+            if text and not self._unseen:
+                yield text
+
+    def _end_of(self, sign: str | re.Pattern, at: int) -> int:
+        """Where the next ``sign`` from ``at`` on ends, or -1."""
+        start, end = self._next.get(sign, (-1, 0))
+        if end >= 0 and start < at:
+            if isinstance(sign, str):
+                start = self.html.find(sign, at)
+                end = start + len(sign) if start >= 0 else -1
+            else:
+                found = sign.search(self.html, at)
+                start, end = found.span() if found else (-1, -1)
+            self._next[sign] = start, end
+        return end
+
+    def _markup(self, at: int) -> tuple[str, int]:
+        html = self.html
+        follows = html[at + 1 : at + 2]
+        if follows.isascii() and follows.isalpha():
+            end = self._start_tag(at)
+        elif html.startswith("</>", at):
+            return "", at + 3  # separates nothing
+        elif follows == "/":
+            end = self._end_tag(at)
+        elif html.startswith("<!--", at):
+            end = self._end_of(_COMMENT_END, at + 4)
+        elif html.startswith("<![", at):
+            return self._section(at)
+        elif follows and follows in "!?":
+            end = self._end_of(">", at + 2)
+        else:
+            return "<", at + 1
+        return (" ", end) if end >= 0 else self._unended(at)
+
+    def _unended(self, at: int) -> tuple[str, int]:
+        end = self._end_of(">", at + 1)
+        if end < 0:
+            end = self._end_of("<", at + 1) - 1
+            end = end if end >= 0 else at + 1
+        return self.html[at:end], end
+
+    def _section(self, at: int) -> tuple[str, int]:
+        name = _SECTION_NAME.match(self.html, at)[1].lower()
+        if name in ("cdata", "temp", "ignore", "include", "rcdata"):
+            end = self._end_of(_SECTION_END, at + 3)
+            if end >= 0 and name == "cdata" and self.html.startswith("[", at + 8):
+                return f" {self.html[at + 9 : self._next[_SECTION_END][0]]} ", end
+        else:
+            end = self._end_of(_CONDITION_END if name in ("if", "else", "endif") else ">", at + 3)
+        return (" ", end) if end >= 0 else self._unended(at)
+
+    def _start_tag(self, at: int) -> int:
+        if self._end_of(">", at + 1) < 0:
+            return -1
+        html = self.html
+        name = _TAG_NAME.match(html, at + 1)
+        place, passed = name.end(), []
+        while True:
+            place = _BETWEEN.match(html, place).end()
+            if place in self._endless:
+                break
+            passed.append(place)
+            sign = html[place : place + 1]
+            if sign == ">" or html.startswith("/>", place):
+                end = place + 1 + (sign == "/")
+                self._opened(name[0].lower(), sign == "/")
+                raw = _RAW_ELEMENTS.get(name[0].lower()) if sign == ">" else None
+                if raw:  # its content is no markup; without an end tag it goes on to the end of the page
+                    last = self._end_of(raw, end)
+                    self._closed(name[0].lower()) if last >= 0 else None
+                    return last if last >= 0 else len(html)
+                return end
+            attribute = _ATTRIBUTE.match(html, place)
+            if not attribute:  # the end of the page
+                break
+            place = attribute.end()
+            if "=" in attribute[0][1:]:
+                quote = html[place : place + 1]
+                if quote and quote in "\"'":
+                    place = self._end_of(quote, place + 1)
+                    if place < 0:
+                        break
+                else:
+                    place = _BARE_VALUE.match(html, place).end()
+        self._endless.update(passed)
+        return -1
+
+    def _end_tag(self, at: int) -> int:
+        end = self._end_of(">", at + 2)
+        found = _TAG_NAME.match(self.html, _SPACES.match(self.html, at + 2).end())
+        if end >= 0 and found:
+            self._closed(found[0].lower())
+        return end
+
+    def _opened(self, tag: str, alone: bool) -> None:
+        if not alone and tag not in VOID_ELEMENTS:
             self._open.append(tag)
+            self._counts[tag] = self._counts.get(tag, 0) + 1
             self._unseen += tag in _UNSEEN
 
-    def handle_startendtag(self, tag, attrs):
-        self._separate()
-
-    def handle_endtag(self, tag):
-        self._separate()
-        if tag in self._open:
-            while True:
+    def _closed(self, tag: str) -> None:
+        if self._counts.get(tag):
+            closed = None
+            while closed != tag:
                 closed = self._open.pop()
+                self._counts[closed] -= 1
                 self._unseen -= closed in _UNSEEN
-                if closed == tag:
-                    return
 
-    def handle_comment(self, data):
-        self._separate()
-
-    def handle_decl(self, decl):
-        self._separate()
-
-    def handle_pi(self, data):
-        self._separate()
-
-    def unknown_decl(self, data):
-        self._separate()
-        if data[:6].upper() == "CDATA[":
-            self.handle_data(data[6:])
-            self._separate()
-
-    def handle_data(self, data):
-        if not self._unseen:
-            self._pieces.append(data)
-
-    def handle_entityref(self, name):
+    def _reference(self, at: int) -> tuple[str, int]:
+        found = _CHARACTER.match(self.html, at)
+        if found:
+            return _character(found[1]), found.end()
+        found = _ENTITY.match(self.html, at)
+        if not found:
+            return "&", at + 1
         # A name that is no entity stays as written, without its semicolon.
-        self.handle_data(html5.get(name + ";") or html5.get(name) or "&" + name)
-
-    def handle_charref(self, name):
-        self.handle_data(_character(name))
+        return html5.get(found[1] + ";") or html5.get(found[1]) or "&" + found[1], found.end()
 
 
 def _character(reference: str) -> str:

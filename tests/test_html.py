@@ -1,6 +1,7 @@
 """Page text: hand-made cases, and random markup against the parser."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,3 +110,26 @@ def test_rendered_pages_are_used_where_the_static_text_is_short(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, rendered_html string")
     found = {r["page_id"]: (r["page_text"], r["page_blank"]) for r in page_texts(pages).collect()}
     assert found == {1: ("rendered", False), 2: ("x" * 200, False), 3: ("only", False), 4: ("", True)}
+
+
+@pytest.mark.parametrize("fragment", ["<!--x ", "<?x ", "<![CDATA[x ", "<a href='", '<a b="', "<b ", "</x ", "<!--x --!", "<div></b>", "<p></nav>", "&#", "<script>", "< ", "<nav a=\"'>"])
+def test_a_page_takes_time_in_proportion_to_its_length(fragment):
+    page = fragment * (1_000_000 // len(fragment))
+    begun = time.process_time()
+    visible_text(page)
+    assert time.process_time() - begun < 5  # a second on an idle machine; a scan that searches again and again takes minutes
+
+
+def test_large_page_of_unclosed_comments(spark):
+    rows = [(i, "shown " + "<!--x " * 170_000 + "<p>end</p>") for i in range(2)]
+    found = with_page_text(spark.createDataFrame(rows, "id int, html string"), max_chars=20).collect()
+    assert {r["page_text"] for r in found} == {"shown <!--x <!--x <!-"}
+
+
+def test_odd_markup():
+    cases = {
+        "a<![weird]>b": "a b", "a<![if x]>b<![endif]>c": "a b c", "a<![CDATA[x <b> y]]>c": "a x <b> y c", "a</>b": "ab", "x &#65 y &#xe9; &# z": "x A y é &# z",
+        "<a href='x>y</a> z": "<a href='x>y z", "a<nav x=1/>b</nav>c": "a c", "a<nav x='1'/>b": "a b", "<script>x</ script>y": "y", "<b a = 'x>y' c>t</b>": "t",
+        "a<": "a<", "a<b": "a<b", "&am": "&am", "<B>x</b><NAV>y</Nav\n>z": "x z",
+    }
+    assert {html: visible_text(html) for html in cases} == cases
