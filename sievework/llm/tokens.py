@@ -164,18 +164,19 @@ class Identifiers:
 
     Since the vocabulary knows lower case only, Latin texts are lower-cased first, and since letters and the signs after
     them are never one token, they are encoded apart: both make what is new rarer. What is remembered takes about
-    ``most`` bytes at most.
+    ``most`` bytes at most, half of it since the last half was full: what has not been used since then is forgotten.
     """
 
     def __init__(self, path: str, most: int = 96 << 20):
         self.tokenizer = Tokenizer.from_file(path)
         self.most, self.size = most, 0
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def of(self, texts: list[str]) -> list[bytes]:
         split = [between_spaces(_folded(t)) for t in texts]
-        if self.size > self.most:
-            self.known, self.size = {}, 0
+        if self.size > self.most // 2:
+            self.before, self.known, self.size = self.known, {}, 0
         found = [list(map(self.known.get, words)) for words in split]
         new = {w for words, ids in zip(split, found, strict=True) if None in ids for w, x in zip(words, ids, strict=True) if x is None}
         made = self._encoded(new)
@@ -185,14 +186,17 @@ class Identifiers:
         ]
 
     def _encoded(self, texts: set[str]) -> dict[str, bytes]:
-        cut = {w: (m[1], m[2]) if (m := _WORD_AND_SIGNS.fullmatch(w)) and m[1].isalpha() else (w,) for w in texts}
+        again = {w: ids for w in texts if (ids := self.before.get(w)) is not None}
+        self._remember(again)
+        cut = {w: (m[1], m[2]) if (m := _WORD_AND_SIGNS.fullmatch(w)) and m[1].isalpha() else (w,) for w in texts if w not in again}
+        self._remember({p: ids for ps in cut.values() for p in ps if (ids := self.before.get(p)) is not None})
         parts = [p for p in {p for ps in cut.values() for p in ps} if p not in self.known]
         ids = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         made = {p: array("I", e.ids).tobytes() for p, e in zip(parts, ids, strict=True)}
         self._remember(made)
         out = {w: b"".join([made[p] if p in made else self.known[p] for p in ps]) for w, ps in cut.items()}
         self._remember(out)
-        return out
+        return out | again
 
     def _remember(self, made: dict[str, bytes]) -> None:
         new = {p: x for p, x in made.items() if len(p) <= _LONGEST and p not in self.known}
