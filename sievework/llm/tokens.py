@@ -167,7 +167,7 @@ class Identifiers:
     ``most`` bytes at most, half of it since the last half was full: what has not been used since then is forgotten.
     """
 
-    def __init__(self, path: str, most: int = 96 << 20):
+    def __init__(self, path: str, most: int = 256 << 20):
         self.tokenizer = Tokenizer.from_file(path)
         self.most, self.size = most, 0
         self.known: dict[str, bytes] = {}
