@@ -29,8 +29,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every piece of every document in the training sequences."""
-    return packing.pack(docs, keep_ids=False).drop("ids")
+    """The place of every piece of every document in the training sequences; workers have other stages' memory besides."""
+    return packing.pack(docs, keep_ids=False, remembered=96 << 20).drop("ids")
 
 
 STAGES = [
