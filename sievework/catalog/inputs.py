@@ -106,6 +106,27 @@ def prepared_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_texts(crawled_pages(spark, sf_dir))
 
 
+def failing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages, some of which could not be fetched."""
+    failed = F.when(F.col("page_id") % 50 == 7, F.concat(F.lit("TimeoutError: page "), F.col("page_id").cast("string")))
+    return table(spark, sf_dir, "pages").withColumn("fetch_error", failed)
+
+
+def static_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of the pages as they were fetched first: a quarter is made by scripts and holds its id only."""
+    bare = F.concat(F.lit("<div id=root>"), F.col("page_id").cast("string"), F.lit("</div>"))
+    return page_texts(failing_pages(spark, sf_dir).withColumn("html", F.when(F.col("page_id") % 4 == 2, bare).otherwise(F.col("html"))))
+
+
+def renderings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a browser gave for a third of the pages, twice the markup; some failed, once or before they succeeded."""
+    page = F.col("page_id")
+    pages = table(spark, sf_dir, "pages").filter(page % 3 == 0)
+    good = pages.filter(page % 9 != 0).select("page_id", F.concat("html", "html").alias("rendered_html"), F.lit(None).cast("string").alias("render_error"))
+    failed = pages.filter(page % 6 != 3).select("page_id", F.lit(None).cast("string").alias("rendered_html"), F.lit("TimeoutError: rendering").alias("render_error"))
+    return good.unionByName(failed)
+
+
 def padded_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents between spaces of several kinds."""
     pads = {1: " \t", 2: "\u00a0\u2003", 3: "\x1f\u3000 ", 4: "\n\n"}

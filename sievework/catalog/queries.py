@@ -18,7 +18,7 @@ from sievework.functions.stages import PERSON, WEBSITE
 from sievework.functions.text import strip
 from sievework.operators import cache as cache_ops
 from sievework.operators import contacts as contact_ops
-from sievework.operators import summary
+from sievework.operators import rendering, summary
 from sievework.operators.distinct import distinct_profiles, distinct_sites
 from sievework.operators.lookup import answer_for_keys, page_for_sites, profile_for_people
 from sievework.operators.profiles import trimmed_profile
@@ -124,9 +124,18 @@ def page_rendered(spark, sf_dir):
 
 @query
 def page_flags(spark, sf_dir):
-    failed = F.when(F.col("page_id") % 50 == 7, F.concat(F.lit("TimeoutError: page "), F.col("page_id").cast("string")))
-    pages = fx.table(spark, sf_dir, "pages").withColumn("fetch_error", failed)
-    return page_texts(pages).select("page_id", "page_url", "page_blank", "page_error")
+    return page_texts(fx.failing_pages(spark, sf_dir)).select("page_id", "page_url", "page_blank", "page_error")
+
+
+@query
+def render_requests(spark, sf_dir):
+    return rendering.render_requests(fx.static_texts(spark, sf_dir), rendering.rendered_texts(fx.renderings(spark, sf_dir)))
+
+
+@query
+def page_renderings(spark, sf_dir):
+    merged = rendering.with_renderings(fx.static_texts(spark, sf_dir), rendering.rendered_texts(fx.renderings(spark, sf_dir)))
+    return merged.select("page_id", "page_url", "page_text", "page_blank", "page_error")
 
 
 @query
