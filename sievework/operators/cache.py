@@ -6,6 +6,7 @@ copies of one key never meet in a join.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -32,17 +33,21 @@ def cache_entries(results: DataFrame, stage: Stage, written_at: Column) -> DataF
     )
 
 
-def latest_entries(cache: DataFrame, stage: Stage) -> DataFrame:
-    """The newest row per key of one stage; ties go to the row without an error, then to a hash."""
+def latest_entries(cache: DataFrame, stage: Stage, with_columns: Sequence[str] = (), within: Sequence[str] = ()) -> DataFrame:
+    """The newest row per key of one stage; ties go to the row without an error, then to a hash.
+
+    ``with_columns`` of that row are kept too. ``within`` names columns that follow from the key, such as the one by which
+    rows are partitioned already.
+    """
     newest = F.max_by(
-        F.struct("result", "error", "written_at"),
+        F.struct("result", "error", "written_at", *with_columns),
         F.struct("written_at", (F.col("error") == "").alias("clean"), F.xxhash64(F.to_json("result")).alias("tie")),
     )
     return (
         cache.filter(F.col("stage") == stage.prefix)
-        .groupBy(KEY)
+        .groupBy(*within, KEY)
         .agg(newest.alias("entry"))
-        .select(KEY, F.lit(stage.prefix).alias("stage"), "entry.*")
+        .select(KEY, F.lit(stage.prefix).alias("stage"), "entry.*", *within)
     )
 
 

@@ -16,11 +16,13 @@ from sievework.operators.lookup import answer_for_keys, profile_for_people
 from sievework.operators.profiles import trimmed_profile
 from sievework.operators.requests import person_requests
 from sievework.operators.stage_results import fill_missing_stage, merge_stage_results
+from sievework.plans.asking import Asking, Provider, ask, with_replies
 from sievework.plans.qualify import prepared
 from sievework.plans.website import replied_keys, with_faults
 from sievework.sinks.cache import append_entries
 from sievework.sinks.results import write_requests, write_results
-from sievework.sources.tables import read_cache
+from sievework.sources.cache import read_cache
+from sievework.sources.tables import read_requests
 
 
 def evaluate_people(people: DataFrame, profiles: DataFrame, answers: DataFrame) -> DataFrame:
@@ -87,6 +89,8 @@ def run_people(
     run_id: str,
     run_time: datetime,
     retry_errors: bool = False,
+    provider: Provider | None = None,
+    asking: Asking = Asking(),
 ) -> DataFrame:
     """Evaluate the profiles of stored ``contacts`` and write every table of the run; returns the stored results.
 
@@ -99,11 +103,14 @@ def run_people(
         write_results(df, f"{root}/{table}")
         return spark.read.parquet(f"{root}/{table}")
 
-    latest = latest_entries(read_cache(spark, cache_path, PERSON).filter(F.col("run_id") != run_id), PERSON)
     people = kept(distinct_profiles(prepared(contacts)), "people")
+    latest = latest_entries(read_cache(spark, cache_path, PERSON, people).filter(F.col("run_id") != run_id), PERSON)
     misses = cache_misses(people, latest, retry_errors)
-    fresh = kept(evaluate_people(misses, profiles, answers), "person_results")
     write_requests(requests_for_people(misses, profiles, answers, retry_errors), f"{root}/person_requests")
+    if provider:
+        given = ask(read_requests(spark, f"{root}/person_requests"), provider, f"{root}/person_asked", asking, retry_errors)
+        answers = with_replies(answers, given)
+    fresh = kept(evaluate_people(misses, profiles, answers), "person_results")
     hits = cache_hits(people.select("profile", "cache_key"), latest, PERSON, retry_errors)
     results = kept(combined(hits, fresh), "all_person_results")
     append_entries(cache_entries(fresh, PERSON, F.lit(run_time)), cache_path, run_id, PERSON)

@@ -6,13 +6,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions import errors
 from sievework.functions.scoring import with_scores
 from sievework.functions.stages import WEBSITE
-from sievework.operators.cache import cache_entries, cache_hits, cache_misses, combined, latest_entries
+from sievework.operators.cache import cache_entries, cache_hits, combined, latest_entries
 from sievework.operators.contacts import (
     add_optional_columns,
     kept,
@@ -24,13 +24,16 @@ from sievework.operators.contacts import (
 from sievework.operators.distinct import distinct_sites
 from sievework.operators.stage_results import fill_missing_stage, merge_stage_results
 from sievework.operators.summary import run_summary
+from sievework.plans.asking import Asking, Provider, ask, with_replies
 from sievework.plans.website import evaluate_sites, requests_for_sites, website_results
 from sievework.sinks.cache import append_entries
 from sievework.sinks.results import write_requests, write_results, write_results_csv
-from sievework.sources.tables import read_cache
+from sievework.sources.cache import read_cache
+from sievework.sources.tables import read_requests
 
 ADDED_COLUMNS = [*WEBSITE.result_columns, "final_score", "lead_tier", "hot_lead", "qualified_at"]
 STAGE_NAME = "Stage 1 — Website"
+ASKING_NAME = "Stage 1 — Replies"
 
 
 def prepared(contacts: DataFrame) -> DataFrame:
@@ -99,43 +102,54 @@ def run(
     csv: bool = False,
     on_total: Callable[[int], None] | None = None,
     on_progress: Callable[[str, int], None] | None = None,
+    provider: Provider | None = None,
+    asking: Asking = Asking(),
 ) -> dict:
     """Qualify stored ``contacts`` and write every table of the run; returns the summary.
 
-    Tables: ``skipped``, ``sites``, ``site_results`` (fresh), ``results`` (those and cached ones), ``requests``,
-    ``qualified`` (and ``qualified_csv``), each below ``paths.root`` with the suffix ``part``; fresh results are added to the cache. Each step reads
+    Tables: ``skipped``, ``sites``, ``cached_results``, ``requests``, ``site_results`` (fresh), ``qualified`` (and
+    ``qualified_csv``), each below ``paths.root`` with the suffix ``part``; fresh results are added to the cache. Each step reads
     what the one before has written, so a lost executor costs tasks, not the run, and repeating a run
     overwrites its own tables and cache partition only.
+
+    A ``provider`` is asked the requests, as ``asking`` says, and its replies (kept in ``asked``) count like ``answers``.
+    ``on_progress`` is told how many contacts' sites have a result when the cached ones are found and when the
+    others are evaluated, and in between, under ``ASKING_NAME``, how many replies the provider has given.
     """
     spark = contacts.sparkSession
     ready = prepared(contacts)
     if on_total:
         on_total(ready.count())
-    write_results(skipped(add_optional_columns(contacts)), paths.of("skipped", part))
 
+    def stored(df: DataFrame, table: str) -> DataFrame:
+        write_results(df, paths.of(table, part))
+        return spark.read.parquet(paths.of(table, part))
+
+    def report(finished: DataFrame) -> None:
+        if on_progress:
+            n = F.coalesce(F.sum("n_contacts"), F.lit(0))
+            on_progress(STAGE_NAME, sites.join(finished, "site", "left_semi").agg(n).first()[0])
+
+    stored(skipped(add_optional_columns(contacts)), "skipped")
+    sites = stored(distinct_sites(ready), "sites")
     # What other runs have cached; this run's own entries are left out so that repeating it starts afresh.
-    cache = read_cache(spark, paths.cache, WEBSITE).filter(F.col("run_id") != run_id)
+    cache = read_cache(spark, paths.cache, WEBSITE, sites).filter(F.col("run_id") != run_id)
     latest = latest_entries(cache, WEBSITE)
-    write_results(distinct_sites(ready), paths.of("sites", part))
-    sites = spark.read.parquet(paths.of("sites", part))
-    misses = cache_misses(sites, latest, retry_errors)
-    write_results(evaluate_sites(misses, pages, answers), paths.of("site_results", part))
-    stored = spark.read.parquet(paths.of("site_results", part))
+    hits = stored(cache_hits(sites.select("site", "cache_key"), latest, WEBSITE, retry_errors), "cached_results")
+    report(hits)
+    misses = sites.join(hits.select("site"), "site", "left_anti")
     write_requests(requests_for_sites(misses, pages, answers, retry_errors), paths.of("requests", part))
-
-    hits = cache_hits(sites.select("site", "cache_key"), latest, WEBSITE, retry_errors)
-    write_results(combined(hits, stored), paths.of("results", part))
-    results = spark.read.parquet(paths.of("results", part))
-    observed = Observation()
-    stamped = scored(ready, results, F.lit(run_time), site_counts(sites)).observe(
-        observed, F.count_if(F.col(WEBSITE.error_column) != errors.NO_WEBSITE).alias("processed")
-    )
-    write_results(_in_order(stamped, contacts), paths.of("qualified", part))
-    append_entries(cache_entries(stored, WEBSITE, F.lit(run_time)), paths.cache, run_id)
-    if on_progress:
-        on_progress(STAGE_NAME, observed.get["processed"])
-
-    qualified = spark.read.parquet(paths.of("qualified", part))
+    if provider:
+        told = (lambda n: on_progress(ASKING_NAME, n)) if on_progress else None
+        given = ask(read_requests(spark, paths.of("requests", part)), provider, paths.of("asked"), asking, retry_errors, told)
+        answers = with_replies(answers, given)
+    fresh = stored(evaluate_sites(misses, pages, answers), "site_results")
+    results = combined(hits, fresh)
+    report(results)
+
+    scores = scored(ready, results, F.lit(run_time), site_counts(sites))
+    qualified = stored(_in_order(scores, contacts), "qualified")
+    append_entries(cache_entries(fresh, WEBSITE, F.lit(run_time)), paths.cache, run_id)
     if csv:
         write_results_csv(qualified, paths.of("qualified_csv", part))
     return run_summary(qualified).first().asDict()

@@ -1,8 +1,7 @@
-"""Tables that stand for the network calls: crawled pages, profile responses, answers; and the cache."""
+"""Tables that stand for the network calls: crawled pages, profile responses, answers."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +10,6 @@ from sievework.functions.answers import decodable
 from sievework.functions.errors import API_ERROR, FETCH_ERROR, PROFILE_ERROR, prefixed
 from sievework.functions.html import MAX_CHARS, MIN_STATIC_CHARS, rendered_or_static, with_page_text
 from sievework.functions.keys import fetch_url, normal_url
-from sievework.functions.stages import Stage
 from sievework.functions.text import is_blank
 from sievework.operators.distinct import best_per_key
 from sievework.operators.profiles import found_person
@@ -103,37 +101,6 @@ def read_answers(spark: SparkSession, path: str, file_format: str = "parquet") -
     return answers_from_replies(spark.read.parquet(path))
 
 
-def cache_schema(stage: Stage) -> T.StructType:
-    """Columns of a stage's cache folder, ``stage`` and ``run_id`` being its partitions."""
-    answers = [T.StructField(q.column, T.BooleanType()) for q in stage.questions]
-    title = [T.StructField(stage.title_column, T.StringType())] if stage.has_title else []
-    result = T.StructType(
-        [
-            *answers,
-            *title,
-            T.StructField(stage.score_column, T.IntegerType()),
-            T.StructField(stage.error_column, T.StringType()),
-            T.StructField(stage.reasoning_column, T.StringType()),
-        ]
-    )
-    return T.StructType(
-        [
-            T.StructField("cache_key", T.StringType()),
-            T.StructField("stage", T.StringType()),
-            T.StructField("result", result),
-            T.StructField("error", T.StringType()),
-            T.StructField("written_at", T.TimestampType()),
-            T.StructField("run_id", T.StringType()),
-        ]
-    )
-
-
-def read_cache(spark: SparkSession, path: str, stage: Stage) -> DataFrame:
-    """A stage's cache folder; empty if nothing has been written there yet."""
-    schema = cache_schema(stage)
-    try:
-        return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/stage={stage.prefix}")
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def read_requests(spark: SparkSession, path: str) -> DataFrame:
+    """Requests that a run has written."""
+    return spark.read.schema("cache_key string, system string, user string, max_tokens int").json(path)

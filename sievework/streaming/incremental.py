@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from sievework.operators.cache import combined
+from sievework.plans.asking import Asking, Provider
 from sievework.plans.qualify import RunPaths, checkpoint_snapshot, run
+from sievework.sinks.cache import fold_cache, remove_folded
+from sievework.streaming.metrics import RunningTotals
 
 
 def contacts_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -37,15 +41,21 @@ def start_incremental_run(
     on_summary: Callable[[int, dict], None] | None = None,
     on_total: Callable[[int], None] | None = None,
     on_progress: Callable[[str, int], None] | None = None,
+    provider: Provider | None = None,
+    asking: Asking = Asking(),
+    fold_every: int | None = None,
 ) -> StreamingQuery:
     """Process everything available and stop; start it again to go on where it stopped.
 
     ``tables`` returns the prepared pages and the answers and is asked anew for each batch, so additions to
-    them are seen. ``on_total`` and ``on_progress`` are told of each batch what a batch run is told.
+    them are seen. ``on_total`` and ``on_progress`` are told what a batch run is told, as running totals since the start.
+    The cache is folded after every ``fold_every`` batches, so that a batch reads its own keys' part of it.
     """
+    totals = RunningTotals(on_total, on_progress)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         pages, answers = tables(batch.sparkSession)
+        totals.next_batch()
         summary = run(
             batch,
             pages,
@@ -55,9 +65,14 @@ def start_incremental_run(
             run_time,
             part=f"/batch={batch_id}",
             retry_errors=retry_errors,
-            on_total=on_total,
-            on_progress=on_progress,
+            on_total=totals.total if on_total else None,
+            on_progress=totals.progress if on_progress else None,
+            provider=provider,
+            asking=asking,
         )
+        if fold_every and batch_id % fold_every == fold_every - 1:
+            fold_cache(batch.sparkSession, paths.cache)
+            remove_folded(batch.sparkSession, paths.cache)
         if on_summary:
             on_summary(batch_id, summary)
 
@@ -81,7 +96,8 @@ def qualified_so_far(spark: SparkSession, paths: RunPaths, batch_id: int | None
 
 def snapshot_of_all(contacts: DataFrame, paths: RunPaths, batch_id: int, qualified_at: Column) -> DataFrame:
     """The scored view of all contacts after a batch, those not reached yet with NULL answers."""
-    results = contacts.sparkSession.read.parquet(paths.of("results")).filter(F.col("batch") <= batch_id)
+    read = contacts.sparkSession.read.parquet
+    results = combined(read(paths.of("cached_results")), read(paths.of("site_results"))).filter(F.col("batch") <= batch_id)
     # A site without a reply in one batch may be evaluated again in a later one.
     latest = results.groupBy("site").agg(F.max_by(F.struct("*"), "batch").alias("r")).select("r.*").drop("batch")
     return checkpoint_snapshot(contacts, latest, qualified_at)

@@ -16,6 +16,28 @@ def with_run_metrics(df: DataFrame, condition: Column) -> DataFrame:
     return df.observe(METRICS, F.count_if(condition).alias("processed"), F.count("*").alias("rows"))
 
 
+class RunningTotals:
+    """Callbacks of one batch after the other, told as totals since the start; a stage's count never falls."""
+
+    def __init__(self, on_total: Callable[[int], None] | None, on_progress: Callable[[str, int], None] | None) -> None:
+        self._on_total = on_total
+        self._on_progress = on_progress
+        self._rows = 0
+        self._before: dict[str, int] = {}
+        self._now: dict[str, int] = {}
+
+    def next_batch(self) -> None:
+        self._before = self._now.copy()
+
+    def total(self, rows: int) -> None:
+        self._rows += rows
+        self._on_total(self._rows)
+
+    def progress(self, stage: str, processed: int) -> None:
+        self._now[stage] = self._before.get(stage, 0) + processed
+        self._on_progress(stage, self._now[stage])
+
+
 class ProgressListener(StreamingQueryListener):
     """Calls ``on_progress(stage, processed)`` and ``on_total(rows)`` with running totals of a query."""
 

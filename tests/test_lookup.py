@@ -7,7 +7,8 @@ from sievework.operators.lookup import page_flags_for_sites, page_for_sites, spr
 from sievework.operators.profiles import trimmed_profile
 from sievework.operators.stage_results import default_rows
 from sievework.sinks.cache import append_entries, clear_cache, delete_keys
-from sievework.sources.tables import answers_from_replies, page_texts, profiles_from_responses, read_answers, read_cache, read_profiles
+from sievework.sources.cache import read_cache
+from sievework.sources.tables import answers_from_replies, page_texts, profiles_from_responses, read_answers, read_profiles
 
 
 def test_spread_join_equals_plain_join_and_spreads_a_hot_key(spark):

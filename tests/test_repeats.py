@@ -12,8 +12,9 @@ from sievework.operators.lookup import spread_left_join
 from sievework.plans.person import run_people
 from sievework.plans.qualify import RunPaths, qualify, run
 from sievework.sinks.cache import append_entries, clear_cache
+from sievework.sources.cache import read_cache
 from sievework.sources.contacts import read_contacts
-from sievework.sources.tables import answers_from_replies, page_texts, profiles_from_responses, read_cache
+from sievework.sources.tables import answers_from_replies, page_texts, profiles_from_responses
 from sievework.streaming.incremental import snapshot_of_all
 
 NOW = datetime(2024, 5, 1, 12, tzinfo=timezone.utc)

@@ -11,7 +11,8 @@ from sievework.operators.requests import answers_from
 from sievework.operators.summary import run_summary
 from sievework.plans.qualify import ADDED_COLUMNS, RunPaths, prepared, qualify, run
 from sievework.plans.website import pending_website_requests, website_results
-from sievework.sources.tables import answers_from_replies, land_page_texts, page_texts, read_cache
+from sievework.sources.cache import read_cache
+from sievework.sources.tables import answers_from_replies, land_page_texts, page_texts
 from sievework.streaming.incremental import contacts_stream, qualified_so_far, snapshot_of_all, start_incremental_run
 from sievework.streaming.metrics import ProgressListener, with_run_metrics
 
