@@ -9,7 +9,7 @@ from sievework.catalog import inputs as fx
 from sievework.functions.stages import WEBSITE
 from sievework.operators.requests import answers_from
 from sievework.operators.summary import run_summary
-from sievework.plans.qualify import ADDED_COLUMNS, RunPaths, prepared, qualify, run
+from sievework.plans.qualify import ADDED_COLUMNS, STAGE_NAME, RunPaths, prepared, qualify, run
 from sievework.plans.website import pending_website_requests, website_results
 from sievework.sources.cache import read_cache
 from sievework.sources.tables import answers_from_replies, land_page_texts, page_texts
@@ -76,7 +76,7 @@ def test_run_and_rerun_from_cache(spark, tables, plain, tmp_path):
         contacts, pages, answers, paths, "r1", NOW, csv=True,
         on_total=lambda n: calls.append(n), on_progress=lambda stage, n: calls.append((stage, n)),
     )
-    assert (summary["total"], calls) == (142, [142, ("Stage 1 — Website", 120)])
+    assert (summary["total"], calls) == (142, [142, (STAGE_NAME, 0), (STAGE_NAME, 120)])
     assert rows(spark.read.parquet(paths.of("qualified"))) == plain
     assert spark.read.parquet(paths.of("skipped")).count() == 8
     pending = spark.read.json(paths.of("requests"))
