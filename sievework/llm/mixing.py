@@ -29,9 +29,20 @@ def draw(doc_id: Column, size: Column, seed: int) -> Column:
 
 
 def weighted_sources(sizes: DataFrame, weights: Sequence[float]) -> DataFrame:
-    """Weights in turn, to sources in code point order, null last. One row per source, so one sorted list of names."""
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    return sizes.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (place % len(weights) + 1).cast("int")))
+    """Weights in turn, to sources in code point order, null last.
+
+    Sources are cut into ranges of names and numbered within each; the ranges' counts, one row per partition of the shuffle, say
+    where a range starts. So no task sorts all names, however many sources there are.
+    """
+    by_name = F.col("source").asc_nulls_last()
+    ranged = stored(sizes.repartitionByRange(by_name).withColumn("range", F.spark_partition_id()), "ranged-sources")
+    counts = ranged.groupBy("range").agg(F.count("*").alias("n"))
+    starts = counts.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("start"))
+    within = F.row_number().over(Window.partitionBy("range").orderBy(by_name)) - 1
+    place = F.col("start") + F.col("within")
+    numbered = ranged.withColumn("within", within).join(starts, "range")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (place % len(weights) + 1).cast("int"))
+    return numbered.select(*sizes.columns, weight.alias("weight"))
 
 
 def water_filled(sources: DataFrame, budget: float, max_epochs: float) -> DataFrame:

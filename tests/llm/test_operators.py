@@ -115,6 +115,21 @@ def test_mix_against_plain_water_filling(spark, odd, none):
     assert mixing.mix(none).collect() == []
 
 
+def test_weights_go_to_sources_in_code_point_order_without_one_sorted_list(spark):
+    names = sorted({f"{c}{i}" for i in range(700) for c in "aBé\U0001f600"} | {"", " "}, key=lambda n: n.encode())
+    sizes = spark.createDataFrame([(n,) for n in [*names[::2], None, *names[1::2]]], "source string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = mixing.weighted_sources(sizes, (3, 1, 2))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        found = {r["source"]: r["weight"] for r in got.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert found == {n: float((3, 1, 2)[i % 3]) for i, n in enumerate([*names, None])}
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 2 and sum("row_number" in line and "[range#" in line for line in windows) == 1
+
+
 def test_mixed_documents_keep_columns_and_copies(spark, odd, none):
     mixed = mixing.mixed_documents(odd)
     assert columns(mixed) == columns(odd)
