@@ -9,11 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.hashing import word_hashes
+from sievework.llm.hashing import mixed, word_hashes
 from sievework.llm.tables import scratch, stored
-from sievework.llm.workers import in_groups
+from sievework.llm.workers import in_groups, text_slices
 
-_TEXTS_AT_ONCE = 256
 _POSITIONS_AT_ONCE = 1 << 14
 _COUNTED_AT_ONCE = 1 << 21
 _BLOCK = 1 << 14  # weights travel in blocks of so many
@@ -29,7 +28,8 @@ class Settings:
     that make up more than 1 / held of all are held by every task (fewer than so many words), the others are joined.
 
     side: words seen on either side. width, hidden: sizes of the network. group: outputs per class of the two-step softmax.
-    masked: share of positions learned from in each round, over all documents. rate: step of the updates.
+    masked: share of the positions of all documents that are learned from, each in one of the ``rounds``; 1 is every one.
+    batch: positions per update. rate: step of the updates.
     """
 
     words: int = 3072
@@ -40,9 +40,9 @@ class Settings:
     hidden: int = 32
     group: int = 64
     rounds: int = 2
-    masked: float = 0.06
-    batch: int = 512
-    rate: float = 0.1
+    masked: float = 1.0
+    batch: int = 8192
+    rate: float = 0.2
     seed: int = 1
 
     @property
@@ -62,66 +62,93 @@ class Network:
             random = np.random.default_rng(s.seed)
             flat = np.concatenate([(random.standard_normal(n) * (0.3 if k < 2 else 0.0)) for k, n in enumerate(sizes)])
         self.flat = np.array(flat, np.float32)
+        self.gradient: Network | None = None
         cuts = np.cumsum([0, *sizes])
         views = [self.flat[a:b].reshape(x) for a, b, x in zip(cuts[:-1], cuts[1:], shapes, strict=True)]
         self.embed, self.inner, self.inner_bias, self.klass, self.klass_bias, self.word, self.word_bias = views
 
-    def _hidden(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        joined = self.embed[context].reshape(len(context), -1)
-        return joined, np.tanh(joined @ self.inner + self.inner_bias)
-
     def log_probability(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Of each target given its neighbours (a row of 2 * side ids each)."""
-        hidden = self._hidden(context)[1]
-        klass = target // self.s.group
-        logits = hidden @ self.klass + self.klass_bias
-        out = logits[np.arange(len(target)), klass] - _log_sum(logits)
-        for c, at in _by_class(klass):
+        """Of each target given its neighbours (a row of 2 * side ids each), whatever else is in the batch."""
+        order, classes = _by_class(target // self.s.group)
+        inside = target[order] % self.s.group
+        joined = self.embed.take(context[order], axis=0).reshape(len(context), -1)
+        hidden = np.tanh(_product(self.inner.T, joined.T.astype(np.float64)) + self.inner_bias[:, None]).astype(np.float64)
+        logits = _product(self.klass.T, hidden) + self.klass_bias[:, None]
+        found = -_log_sum(logits)
+        for c, low, high in classes:
             own = slice(c * self.s.group, (c + 1) * self.s.group)
-            logits = hidden[at] @ self.word[own].T + self.word_bias[own]
-            out[at] += logits[np.arange(len(at)), target[at] % self.s.group] - _log_sum(logits)
+            found[low:high] += logits[c, low:high]
+            words = _product(self.word[own], hidden[:, low:high]) + self.word_bias[own, None]
+            found[low:high] += words[inside[low:high], np.arange(high - low)] - _log_sum(words)
+        out = np.empty_like(found)
+        out[order] = found
         return out
 
     def learn(self, context: np.ndarray, target: np.ndarray, squares: np.ndarray) -> None:
         """One step on the mean loss of a batch; each weight's step falls with the squares of its past gradients."""
         s, n = self.s, len(target)
-        own = Network(s, np.zeros_like(self.flat))  # the gradient, in the same layout
-        joined, hidden = self._hidden(context)
-        klass = target // s.group
-        wrong = _softmax(hidden @ self.klass + self.klass_bias)
-        wrong[np.arange(n), klass] -= 1
+        if self.gradient is None:
+            self.gradient = Network(s, np.zeros_like(self.flat))  # in the same layout, filled anew by each step
+        own = self.gradient
+        order, classes = _by_class(target // s.group)
+        context, inside = context[order], target[order] % s.group
+        joined = self.embed.take(context, axis=0).reshape(n, -1)
+        hidden = np.tanh(self.inner.T @ joined.T + self.inner_bias[:, None])
+        own.word[:], own.word_bias[:], own.embed[:] = 0, 0, 0
+        wrong = _softmax(self.klass.T @ hidden + self.klass_bias[:, None])
+        for c, low, high in classes:
+            wrong[c, low:high] -= 1
         wrong /= n
-        own.klass[:], own.klass_bias[:] = hidden.T @ wrong, wrong.sum(0)
-        back = wrong @ self.klass.T
-        for c, at in _by_class(klass):
-            part = slice(c * s.group, (c + 1) * s.group)
-            wrong = _softmax(hidden[at] @ self.word[part].T + self.word_bias[part])
-            wrong[np.arange(len(at)), target[at] % s.group] -= 1
+        own.klass[:], own.klass_bias[:] = hidden @ wrong.T, wrong.sum(1)
+        back = self.klass @ wrong
+        for c, low, high in classes:
+            part, some = slice(c * s.group, (c + 1) * s.group), hidden[:, low:high]
+            wrong = _softmax(self.word[part] @ some + self.word_bias[part, None])
+            wrong[inside[low:high], np.arange(high - low)] -= 1
             wrong /= n
-            own.word[part], own.word_bias[part] = wrong.T @ hidden[at], wrong.sum(0)
-            back[at] += wrong @ self.word[part]
+            own.word[part], own.word_bias[part] = wrong @ some.T, wrong.sum(1)
+            back[:, low:high] += self.word[part].T @ wrong
         back *= 1 - hidden * hidden
-        own.inner[:], own.inner_bias[:] = joined.T @ back, back.sum(0)
-        np.add.at(own.embed, context.ravel(), (back @ self.inner.T).reshape(-1, s.width))
-        squares += own.flat * own.flat
-        self.flat -= s.rate * own.flat / np.sqrt(squares + 1e-8)
+        own.inner[:], own.inner_bias[:] = joined.T @ back.T, back.sum(1)
+        _add_rows(own.embed, context.ravel(), (back.T @ self.inner.T).reshape(-1, s.width))
+        step = own.flat * own.flat
+        squares += step
+        np.sqrt(np.add(squares, 1e-8, out=step), out=step)
+        np.divide(own.flat, step, out=step)
+        step *= s.rate
+        self.flat -= step
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In double precision and rounded, so that the order of sums, which follows a column's place, does not show."""
+    return (a.astype(np.float64) @ b).astype(np.float32)
 
 
 def _log_sum(logits: np.ndarray) -> np.ndarray:
-    most = logits.max(1)
-    return most + np.log(np.exp(logits - most[:, None]).sum(1))
+    most = logits.max(0)
+    return most + np.log(np.exp(logits - most).sum(0, dtype=np.float64).astype(logits.dtype))
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    out = np.exp(logits - logits.max(1, keepdims=True))
-    return out / out.sum(1, keepdims=True)
+    """Of each column, in place."""
+    logits -= logits.max(0)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(0)
+    return logits
+
 
+def _by_class(klass: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order by class, and each class met with its bounds in that order."""
+    order = np.argsort(klass.astype(np.uint16) if klass.max(initial=0) < 1 << 16 else klass, kind="stable")
+    counts = np.bincount(klass)
+    ends = np.cumsum(counts)
+    return order, [(int(c), int(ends[c] - counts[c]), int(ends[c])) for c in np.flatnonzero(counts)]
 
-def _by_class(klass: np.ndarray):
-    order = np.argsort(klass, kind="stable")
-    bounds = np.flatnonzero(np.diff(klass[order], prepend=-1))
-    for low, high in zip(bounds, np.append(bounds[1:], len(klass)), strict=True):
-        yield int(klass[order[low]]), order[low:high]
+
+def _add_rows(to: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Adds rows to those of a matrix, several to one possibly."""
+    for column in range(to.shape[1]):
+        to[:, column] += np.bincount(at, rows[:, column], minlength=len(to))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -133,42 +160,40 @@ def word_counts(docs: DataFrame) -> DataFrame:
         def flushed():
             return pa.RecordBatch.from_arrays([pa.array(known.view(np.int64)), pa.array(counts)], ["word", "times"])
 
-        for whole in batches:
-            for low in range(0, whole.num_rows, _TEXTS_AT_ONCE * 4):
-                found = word_hashes(whole["text"].slice(low, _TEXTS_AT_ONCE * 4))[0]
-                new, times = np.unique(found, return_counts=True)
-                joined = np.concatenate([known, new])
-                known, at = np.unique(joined, return_inverse=True)
-                counts = np.bincount(at, np.concatenate([counts, times]), minlength=len(known)).astype(np.int64)
-                if len(known) > _COUNTED_AT_ONCE:
-                    yield flushed()
-                    known, counts = known[:0], counts[:0]
+        for texts in text_slices(batches, rows=1024):
+            new, times = np.unique(word_hashes(texts["text"])[0], return_counts=True)
+            joined = np.concatenate([known, new])
+            known, at = np.unique(joined, return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, times]), minlength=len(known)).astype(np.int64)
+            if len(known) > _COUNTED_AT_ONCE:
+                yield flushed()
+                known, counts = known[:0], counts[:0]
         yield flushed()
 
     parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(counted, "word long, times long")
     return parts.groupBy("word").agg(F.sum("times").alias("times"))
 
 
-def frequent_words(counts: DataFrame, words: int) -> np.ndarray:
-    """The hashes of the most frequent words, ties by hash."""
+def frequent_words(counts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the most frequent words, ties by hash, and how often they occur."""
     top = counts.orderBy(F.desc("times"), "word").limit(words).collect()
-    return np.array([r["word"] for r in top], np.int64).view(np.uint64)
+    return np.array([r["word"] for r in top], np.int64).view(np.uint64), np.array([r["times"] for r in top], np.float64)
 
 
-def bucket_shares(counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """word, times and share (the logarithm of its share of its bucket's occurrences) of all words without an output of their own."""
-    s = vocabulary.s
+def bucketed_words(counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """word, times and bucket of all words without an output of their own."""
 
     def bucketed(batches):
         for batch in batches:
             ids = vocabulary.ids(batch["word"].to_numpy().view(np.uint64))
-            others = pa.array(ids >= s.words)
+            others = pa.array(ids >= vocabulary.s.words)
             yield pa.RecordBatch.from_arrays([batch["word"].filter(others), batch["times"].filter(others), pa.array(ids).filter(others)], ["word", "times", "bucket"])
 
-    words = stored(counts.mapInArrow(bucketed, "word long, times long, bucket long"), "buckets")
-    totals = np.ones(s.outputs)
-    for row in words.groupBy("bucket").agg(F.sum("times").alias("times")).collect():  # a row per bucket
-        totals[row["bucket"]] = row["times"]
+    return stored(counts.mapInArrow(bucketed, "word long, times long, bucket long"), "buckets")
+
+
+def bucket_shares(words: DataFrame, totals: np.ndarray) -> DataFrame:
+    """word, times and share (the logarithm of its share of its bucket's occurrences) of words in buckets."""
 
     def shared(batches):
         for batch in batches:
@@ -206,8 +231,25 @@ def neighbours(ids: np.ndarray, of: np.ndarray, s: Settings, at: np.ndarray) ->
     return out
 
 
+def folds(words: np.ndarray, bounds: np.ndarray, of: np.ndarray, s: Settings) -> np.ndarray:
+    """The round in which each position is masked, ``rounds`` if in none; drawn by the text's words and the place in it."""
+    sums = np.append(np.uint64(0), np.cumsum(words, dtype=np.uint64))
+    own = sums[bounds[1:]] - sums[bounds[:-1]]
+    drawn = mixed(own[of] + np.arange(len(words), dtype=np.uint64) - bounds[:-1].astype(np.uint64)[of] + np.uint64(s.seed))
+    return np.minimum((mixed(drawn) >> np.uint64(11)) * (2.0**-53 * s.rounds / s.masked), s.rounds).astype(np.int64)
+
+
+def starting_weights(s: Settings, totals: np.ndarray) -> np.ndarray:
+    """Random vectors, and biases that give every output its frequency."""
+    network, logs = Network(s), np.log(totals + 1)
+    network.word_bias[:] = logs - logs.max()
+    classes = _log_sum(logs.reshape(-1, s.group).T)
+    network.klass_bias[:] = classes - classes.max()
+    return network.flat
+
+
 def one_round(docs: DataFrame, vocabulary: Vocabulary, flat: np.ndarray, s: Settings, number: int) -> np.ndarray:
-    """Each task learns from masked positions of all its documents, starting at ``flat``; the mean by positions is returned.
+    """Each task learns from this round's positions of all its documents, starting at ``flat``; the mean by positions is returned.
 
     Tasks write their weights as blocks; blocks are averaged some tasks at a time until one is left.
     """
@@ -216,24 +258,21 @@ def one_round(docs: DataFrame, vocabulary: Vocabulary, flat: np.ndarray, s: Sett
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
-        random = np.random.default_rng([s.seed, number, task])
         network, squares, seen = Network(s, flat), np.zeros(len(flat), np.float32), 0
-        contexts, targets = [], []
-        for whole in batches:
-            for low in range(0, whole.num_rows, _TEXTS_AT_ONCE):
-                words, bounds = word_hashes(whole["text"].slice(low, _TEXTS_AT_ONCE))
-                ids, of = vocabulary.ids(words), np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-                at = np.flatnonzero(random.random(len(ids)) < s.masked)
-                random.shuffle(at)
-                contexts, targets = [*contexts, neighbours(ids, of, s, at)], [*targets, ids[at]]
-                context, target = np.concatenate(contexts), np.concatenate(targets)
-                full = len(target) - len(target) % s.batch
-                for a in range(0, full, s.batch):
-                    network.learn(context[a : a + s.batch], target[a : a + s.batch], squares)
-                contexts, targets, seen = [context[full:]], [target[full:]], seen + full
-        if contexts and len(targets[0]):
-            network.learn(contexts[0], targets[0], squares)
-            seen += len(targets[0])
+        context, target = np.empty((0, 2 * s.side), np.int64), np.empty(0, np.int64)
+        for texts in text_slices(batches):
+            words, bounds = word_hashes(texts["text"])
+            ids, of = vocabulary.ids(words), np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+            at = np.flatnonzero(folds(words, bounds, of, s) == number)
+            np.random.default_rng([s.seed, number, int(words.sum(dtype=np.uint64))]).shuffle(at)
+            context, target = np.concatenate([context, neighbours(ids, of, s, at)]), np.concatenate([target, ids[at]])
+            full = len(target) - len(target) % s.batch
+            for a in range(0, full, s.batch):
+                network.learn(context[a : a + s.batch], target[a : a + s.batch], squares)
+            context, target, seen = context[full:], target[full:], seen + full
+        if len(target):
+            network.learn(context, target, squares)
+            seen += len(target)
         if seen:
             blocks = range(0, len(flat), _BLOCK)
             yield pa.RecordBatch.from_arrays(
@@ -267,14 +306,45 @@ def one_round(docs: DataFrame, vocabulary: Vocabulary, flat: np.ndarray, s: Sett
     return np.concatenate([np.frombuffer(r["sums"], np.float64) / r["seen"] for r in rows]).astype(np.float32)
 
 
+@dataclass(frozen=True)
+class Model:
+    """What is learned: ``counts`` of all words, ``words`` in buckets, occurrences per output and the network's weights."""
+
+    s: Settings
+    vocabulary: Vocabulary
+    counts: DataFrame
+    words: DataFrame
+    totals: np.ndarray
+    flat: np.ndarray
+
+
+def learned_model(docs: DataFrame, s: Settings) -> Model:
+    """Counts the words of all documents, then learns in rounds; every position is masked in one of them."""
+    counts = stored(word_counts(docs), "counts")
+    frequent, times = frequent_words(counts, s.words)
+    vocabulary = Vocabulary(frequent, s)
+    words = bucketed_words(counts, vocabulary)
+    totals = np.zeros(s.outputs)
+    totals[: len(times)] = times
+    for row in words.groupBy("bucket").agg(F.sum("times").alias("times")).collect():  # a row per bucket
+        totals[row["bucket"]] = row["times"]
+    flat = starting_weights(s, totals)
+    for number in range(s.rounds):
+        with scratch(docs.sparkSession):
+            flat = one_round(docs, vocabulary, flat, s, number)
+    return Model(s, vocabulary, counts, words, totals, flat)
+
+
 def score_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_tokens, log_probability, score.
+    """Per row of ``docs`` (doc_id, text): doc_id, score, log_probability, n_tokens.
 
     Every word of the whole text is predicted from the words on both sides of it, as if it alone were masked; the
-    logarithms of these probabilities are summed, ``score`` is their mean. The vocabulary counts all documents, and each
-    round of learning passes over all of them, masking a share of positions. The network knows frequent words and buckets
-    of all others; within its bucket a word's probability is its share of the bucket's occurrences in all documents, so the
-    probabilities of all words sum to 1. These counts are a table that grows with the vocabulary and is joined to the words
+    logarithms of these probabilities are summed, ``score`` is their mean. The vocabulary counts all documents, and every
+    position of all documents is learned from once, in one of the ``rounds`` (fewer with a smaller ``masked``). Which one, and the
+    order within some texts, follow from the texts; the mean of weights is over tasks, so scores change a little with the
+    split of the files. The network knows frequent words and buckets of all others, and starts at their frequencies; within
+    its bucket a word's probability is its share of the bucket's occurrences in all documents, so the probabilities of all
+    words sum to 1. These counts are a table that grows with the vocabulary and is joined to the words
     that need it. Nothing but the frequent words, the counts of at most ``held`` words, a sum per bucket and the averaged
     weights, all of bounded size, comes to the driver.
 
@@ -286,13 +356,9 @@ def score_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
 
 def _score_documents(docs: DataFrame, s: Settings) -> DataFrame:
-    counts = stored(word_counts(docs), "counts")
-    vocabulary = Vocabulary(frequent_words(counts, s.words), s)
-    flat = Network(s).flat
-    for number in range(s.rounds):
-        with scratch(docs.sparkSession):
-            flat = one_round(docs, vocabulary, flat, s, number)
-    shares = bucket_shares(counts, vocabulary)
+    model = learned_model(docs, s)
+    counts, vocabulary, flat = model.counts, model.vocabulary, model.flat
+    shares = bucket_shares(model.words, model.totals)
     least = (counts.agg(F.sum("times")).first()[0] or 0) / s.held
     held = shares.filter(F.col("times") > least).select("word", "share").toArrow()
     known = held["word"].to_numpy().view(np.uint64)
@@ -303,36 +369,34 @@ def _score_documents(docs: DataFrame, s: Settings) -> DataFrame:
         from pyspark import TaskContext
 
         network, row = Network(s, flat), TaskContext.get().partitionId() << 40
-        for whole in batches:
-            for low in range(0, whole.num_rows, _TEXTS_AT_ONCE):
-                batch = whole.slice(low, _TEXTS_AT_ONCE)
-                words, bounds = word_hashes(batch["text"])
-                ids, of = vocabulary.ids(words), np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-                found = np.zeros(len(ids))
-                for a in range(0, len(ids), _POSITIONS_AT_ONCE):
-                    at = np.arange(a, min(a + _POSITIONS_AT_ONCE, len(ids)))
-                    found[at] = network.log_probability(neighbours(ids, of, s, at), ids[at])
-                others = np.flatnonzero(ids >= s.words)
-                if len(known):
-                    place = np.minimum(np.searchsorted(known, words[others]), len(known) - 1)
-                    same = known[place] == words[others]
-                    found[others[same]] += known_shares[place[same]]
-                    others = others[~same]
-                counts = np.diff(bounds)
-                sums = np.bincount(of, found, minlength=len(counts))
-                others = others[np.lexsort((words[others], of[others]))]
-                first = np.ones(len(others), bool)
-                first[1:] = (words[others][1:] != words[others][:-1]) | (of[others][1:] != of[others][:-1])
-                first = np.flatnonzero(first)
-                times = np.diff(np.append(first, len(others)))
-                cuts = pa.array(np.append(0, np.cumsum(np.bincount(of[others[first]], minlength=len(counts)))).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (words[others[first]].view(np.int64), times.astype(np.int64))]
-                rows = pa.array(np.arange(row, row + len(counts), dtype=np.int64))
-                row += len(counts)
-                yield pa.RecordBatch.from_arrays(
-                    [rows, batch["doc_id"], pa.array(counts, pa.int64()), pa.array(sums), *lists],
-                    ["row", "doc_id", "n_tokens", "log_probability", "words", "times"],
-                )
+        for batch in text_slices(batches):
+            words, bounds = word_hashes(batch["text"])
+            ids, of = vocabulary.ids(words), np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+            found = np.zeros(len(ids))
+            for a in range(0, len(ids), _POSITIONS_AT_ONCE):
+                at = np.arange(a, min(a + _POSITIONS_AT_ONCE, len(ids)))
+                found[at] = network.log_probability(neighbours(ids, of, s, at), ids[at])
+            others = np.flatnonzero(ids >= s.words)
+            if len(known):
+                place = np.minimum(np.searchsorted(known, words[others]), len(known) - 1)
+                same = known[place] == words[others]
+                found[others[same]] += known_shares[place[same]]
+                others = others[~same]
+            counts = np.diff(bounds)
+            sums = np.bincount(of, found, minlength=len(counts))
+            others = others[np.lexsort((words[others], of[others]))]
+            first = np.ones(len(others), bool)
+            first[1:] = (words[others][1:] != words[others][:-1]) | (of[others][1:] != of[others][:-1])
+            first = np.flatnonzero(first)
+            times = np.diff(np.append(first, len(others)))
+            cuts = pa.array(np.append(0, np.cumsum(np.bincount(of[others[first]], minlength=len(counts)))).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (words[others[first]].view(np.int64), times.astype(np.int64))]
+            rows = pa.array(np.arange(row, row + len(counts), dtype=np.int64))
+            row += len(counts)
+            yield pa.RecordBatch.from_arrays(
+                [rows, batch["doc_id"], pa.array(counts, pa.int64()), pa.array(sums), *lists],
+                ["row", "doc_id", "n_tokens", "log_probability", "words", "times"],
+            )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "row long, doc_id long, n_tokens long, log_probability double, words array<long>, times array<long>"
@@ -343,4 +407,4 @@ def _score_documents(docs: DataFrame, s: Settings) -> DataFrame:
     total = F.col("log_probability") + F.coalesce("more", F.lit(0.0))
     rows = rows.select("row", "doc_id", "n_tokens", "log_probability").join(more, "row", "left").withColumn("log_probability", total)
     score = F.when(F.col("n_tokens") > 0, F.col("log_probability") / F.col("n_tokens"))
-    return rows.select("doc_id", "n_tokens", "log_probability", score.alias("score"))
+    return rows.select("doc_id", score.alias("score"), "log_probability", "n_tokens")

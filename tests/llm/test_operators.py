@@ -4,12 +4,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sievework.llm import ann, chat, language, lm, mixing, near_texts, near_vectors, packing, quality, tokens
 from sievework.llm.components import components
+from sievework.llm.hashing import word_hashes
 from sievework.llm.near_texts import Settings
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -75,6 +77,58 @@ def test_words_of_a_bucket_have_their_own_probabilities(spark):
         assert got[2000]["log_probability"] == got[2001]["log_probability"]
 
 
+def test_scores_word_by_word(spark, odd):
+    s = lm.Settings(words=24, buckets=8, group=8, batch=512, rounds=2)
+    model = lm.learned_model(odd, s)
+    network = lm.Network(s, model.flat)
+    rows = odd.collect()
+    texts = {r["text"]: (r["text"] or "").encode().translate(bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))).split() for r in rows}
+    counts = Counter(w for r in rows for w in texts[r["text"]])
+    names = sorted(counts)
+    hashes = word_hashes(pa.array([w.decode() for w in names]))[0]
+    ids = dict(zip(names, model.vocabulary.ids(hashes).tolist(), strict=True))
+    buckets = Counter()
+    for w, n in counts.items():
+        buckets[ids[w]] += n
+
+    def plain(words):
+        out = []
+        for i, w in enumerate(words):
+            context = [ids[words[j]] if 0 <= j < len(words) else s.outputs for j in (i - 2, i - 1, i + 1, i + 2)]
+            p = network.log_probability(np.array([context]), np.array([ids[w]]))[0]
+            out.append(p + (np.log(counts[w] / buckets[ids[w]]) if ids[w] >= s.words else 0))
+        return out
+
+    for r in lm.score_documents(odd, s).collect():
+        for row in rows:
+            if row["doc_id"] == r["doc_id"] and r["n_tokens"] and r["n_tokens"] < 100:
+                assert r["log_probability"] == pytest.approx(sum(plain(texts[row["text"]])), abs=1e-3)
+
+
+def test_every_position_is_masked_once():
+    words, bounds = word_hashes(pa.array(["a b c", "", None, "a", LONG]))
+    of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    found = lm.folds(words, bounds, of, lm.Settings(rounds=3))
+    assert set(found.tolist()) == {0, 1, 2} and np.bincount(found).min() > 19_000
+    alone = word_hashes(pa.array([LONG]))
+    assert (lm.folds(*alone, np.zeros(len(alone[0]), np.int64), lm.Settings(rounds=3)) == found[4:]).all()
+    share = (lm.folds(words, bounds, of, lm.Settings(rounds=3, masked=0.3)) < 3).mean()
+    assert 0.29 < share < 0.31
+
+
+def test_loss_on_texts_not_learned_from_is_below_that_of_frequencies(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").distinct().repartition(4, "text")
+    s = lm.Settings(words=448, buckets=64, batch=512)
+    own = F.crc32(F.col("text").cast("binary")) % 5 == 0
+    model = lm.learned_model(docs.filter(~own), s)
+    words, bounds = word_hashes(pa.array([r["text"] for r in docs.filter(own).collect()]))
+    ids, of = model.vocabulary.ids(words), np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    network = lm.Network(s, model.flat)
+    loss = -network.log_probability(lm.neighbours(ids, of, s, np.arange(len(ids))), ids).mean()
+    frequencies = -np.log((model.totals + 1) / (model.totals + 1).sum())[ids].mean()
+    assert loss < frequencies - 0.2
+
+
 # -- mixing
 
 
