@@ -68,17 +68,17 @@ class Network:
         self.embed, self.inner, self.inner_bias, self.klass, self.klass_bias, self.word, self.word_bias = views
 
     def log_probability(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Of each target given its neighbours (a row of 2 * side ids each), whatever else is in the batch."""
+        """Of each target given its neighbours (a row of 2 * side ids each); single precision, so the last digit follows the batch."""
         order, classes = _by_class(target // self.s.group)
         inside = target[order] % self.s.group
         joined = self.embed.take(context[order], axis=0).reshape(len(context), -1)
-        hidden = np.tanh(_product(self.inner.T, joined.T.astype(np.float64)) + self.inner_bias[:, None]).astype(np.float64)
-        logits = _product(self.klass.T, hidden) + self.klass_bias[:, None]
+        hidden = np.tanh(self.inner.T @ joined.T + self.inner_bias[:, None])
+        logits = self.klass.T @ hidden + self.klass_bias[:, None]
         found = -_log_sum(logits)
         for c, low, high in classes:
             own = slice(c * self.s.group, (c + 1) * self.s.group)
             found[low:high] += logits[c, low:high]
-            words = _product(self.word[own], hidden[:, low:high]) + self.word_bias[own, None]
+            words = self.word[own] @ hidden[:, low:high] + self.word_bias[own, None]
             found[low:high] += words[inside[low:high], np.arange(high - low)] - _log_sum(words)
         out = np.empty_like(found)
         out[order] = found
@@ -119,11 +119,6 @@ class Network:
         self.flat -= step
 
 
-def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """In double precision and rounded, so that the order of sums, which follows a column's place, does not show."""
-    return (a.astype(np.float64) @ b).astype(np.float32)
-
-
 def _log_sum(logits: np.ndarray) -> np.ndarray:
     most = logits.max(0)
     return most + np.log(np.exp(logits - most).sum(0, dtype=np.float64).astype(logits.dtype))
@@ -342,7 +337,7 @@ def score_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     logarithms of these probabilities are summed, ``score`` is their mean. The vocabulary counts all documents, and every
     position of all documents is learned from once, in one of the ``rounds`` (fewer with a smaller ``masked``). Which one, and the
     order within some texts, follow from the texts; the mean of weights is over tasks, so scores change a little with the
-    split of the files. The network knows frequent words and buckets of all others, and starts at their frequencies; within
+    split of the files, and equal texts that are read apart may differ in the seventh digit. The network knows frequent words and buckets of all others, and starts at their frequencies; within
     its bucket a word's probability is its share of the bucket's occurrences in all documents, so the probabilities of all
     words sum to 1. These counts are a table that grows with the vocabulary and is joined to the words
     that need it. Nothing but the frequent words, the counts of at most ``held`` words, a sum per bucket and the averaged
@@ -370,7 +365,8 @@ def _score_documents(docs: DataFrame, s: Settings) -> DataFrame:
 
         network, row = Network(s, flat), TaskContext.get().partitionId() << 40
         for batch in text_slices(batches):
-            words, bounds = word_hashes(batch["text"])
+            texts = batch["text"].fill_null("").dictionary_encode()  # equal texts of a slice are worked on once
+            words, bounds = word_hashes(texts.dictionary)
             ids, of = vocabulary.ids(words), np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
             found = np.zeros(len(ids))
             for a in range(0, len(ids), _POSITIONS_AT_ONCE):
@@ -391,10 +387,12 @@ def _score_documents(docs: DataFrame, s: Settings) -> DataFrame:
             times = np.diff(np.append(first, len(others)))
             cuts = pa.array(np.append(0, np.cumsum(np.bincount(of[others[first]], minlength=len(counts)))).astype(np.int32))
             lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (words[others[first]].view(np.int64), times.astype(np.int64))]
-            rows = pa.array(np.arange(row, row + len(counts), dtype=np.int64))
-            row += len(counts)
+            found_of_text = pa.RecordBatch.from_arrays([pa.array(counts, pa.int64()), pa.array(sums), *lists], ["n_tokens", "log_probability", "words", "times"])
+            of_rows = found_of_text.take(texts.indices)
+            rows = pa.array(np.arange(row, row + batch.num_rows, dtype=np.int64))
+            row += batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [rows, batch["doc_id"], pa.array(counts, pa.int64()), pa.array(sums), *lists],
+                [rows, batch["doc_id"], *of_rows.columns],
                 ["row", "doc_id", "n_tokens", "log_probability", "words", "times"],
             )
 
