@@ -14,6 +14,8 @@ from sievework.plans.website import website_results
 from sievework.sources.tables import answers_from_replies, page_texts, profiles_from_responses
 
 RUN_TIME = "2024-05-01 12:00:00"
+# A row of customer becomes about a kilobyte of JSON; a task that sorts so many holds some 40 MB.
+ROWS_PER_TASK = 50_000
 
 
 def run_time() -> Column:
@@ -24,6 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers, dealt out by key while they are narrow: a file that is one task's share may hold any number of them."""
+    customer = table(spark, sf_dir, "customer")
+    tasks = -(-customer.count() // ROWS_PER_TASK)
+    return customer.repartition(tasks, "c_custkey") if tasks > 1 else customer
+
+
 def by_case(number: Column, values: dict[int, str], otherwise: str) -> Column:
     chain = None
     for case, value in values.items():
@@ -170,7 +179,7 @@ def profile_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # An explicit null is a present field.
     person = F.when(key % 2 == 0, F.replace(person, F.lit('{"full_name"'), F.lit('{"headline":null,"full_name"'))).otherwise(person)
-    return table(spark, sf_dir, "customer").select(
+    return customers(spark, sf_dir).select(
         key.alias("c_custkey"), _profile_url(key).alias("profile_url"), F.when(key % 5 != 0, person).alias("data")
     )
 
