@@ -42,7 +42,7 @@ def by_case(number: Column, values: dict[int, str], otherwise: str) -> Column:
 
 def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contacts with blank, padded, upper-case, scheme-less, dead and plain websites."""
-    customer, pages = table(spark, sf_dir, "customer"), table(spark, sf_dir, "pages").select("page_id", "url")
+    customer, pages = customers(spark, sf_dir), table(spark, sf_dir, "pages").select("page_id", "url")
     key = F.col("c_custkey")
     joined = customer.withColumn("page_id", key % pages.select(F.count("*")).scalar()).join(pages, "page_id")
     shape = key % 10
@@ -212,7 +212,7 @@ def person_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.cast("string"),
         F.lit('"}'),
     )
-    return table(spark, sf_dir, "customer").select(
+    return customers(spark, sf_dir).select(
         key, cache_key(F.lit("s2"), _profile_url(key)).alias("answer_key"), raw.alias("raw_answer")
     )
 

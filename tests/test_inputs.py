@@ -26,3 +26,10 @@ def test_profiles_are_dealt_out_before_they_grow(spark, folder, monkeypatch):
     monkeypatch.setattr(fx, "ROWS_PER_TASK", 100, raising=False)
     rows, most = most_in_a_task(fx.profile_responses(spark, folder))
     assert rows == 1000 and most <= 200
+
+
+@pytest.mark.parametrize("made", [fx.person_replies, fx.contacts])
+def test_replies_and_contacts_are_dealt_out_before_they_grow(spark, folder, monkeypatch, made):
+    monkeypatch.setattr(fx, "ROWS_PER_TASK", 100, raising=False)
+    rows, most = most_in_a_task(made(spark, folder))
+    assert rows == 1000 and most <= 200
