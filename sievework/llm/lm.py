@@ -17,6 +17,8 @@ _POSITIONS_AT_ONCE = 1 << 14
 _COUNTED_AT_ONCE = 1 << 21
 _BLOCK = 1 << 14  # weights travel in blocks of so many
 _MERGED_AT_ONCE = 64
+_COLUMNS = 1 << 10  # positions whose values stay in a core's own cache
+_PREFIX = np.uint64(48)  # shifts a hash to its first 16 bits
 _UNITS = float(1 << 32)  # joined logarithms are summed as whole parts, so that sums don't depend on the order
 
 
@@ -63,23 +65,36 @@ class Network:
             flat = np.concatenate([(random.standard_normal(n) * (0.3 if k < 2 else 0.0)) for k, n in enumerate(sizes)])
         self.flat = np.array(flat, np.float32)
         self.gradient: Network | None = None
+        self.spaces: dict[str, np.ndarray] = {}
         cuts = np.cumsum([0, *sizes])
         views = [self.flat[a:b].reshape(x) for a, b, x in zip(cuts[:-1], cuts[1:], shapes, strict=True)]
         self.embed, self.inner, self.inner_bias, self.klass, self.klass_bias, self.word, self.word_bias = views
 
+    def _space(self, name: str, *shape: int) -> np.ndarray:
+        """Room for a batch's values, kept from batch to batch: new pages for each take longer than the arithmetic."""
+        size = int(np.prod(shape))
+        if name not in self.spaces or self.spaces[name].size < size:
+            self.spaces[name] = np.empty(size, np.float32)
+        return self.spaces[name][:size].reshape(shape)
+
     def log_probability(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Of each target given its neighbours (a row of 2 * side ids each); single precision, so the last digit follows the batch."""
         order, classes = _by_class(target // self.s.group)
-        inside = target[order] % self.s.group
-        joined = self.embed.take(context[order], axis=0).reshape(len(context), -1)
-        hidden = np.tanh(self.inner.T @ joined.T + self.inner_bias[:, None])
-        logits = self.klass.T @ hidden + self.klass_bias[:, None]
+        inside, places = target[order] % self.s.group, np.arange(len(target))
+        joined = self._space("joined", *context.shape, self.s.width)
+        self.embed.take(context[order], axis=0, out=joined, mode="clip")  # other modes fill a copy first
+        hidden = np.matmul(self.inner.T, joined.reshape(len(context), -1).T, out=self._space("hidden", self.s.hidden, len(context)))
+        hidden += self.inner_bias[:, None]
+        np.tanh(hidden, out=hidden)
+        logits = np.matmul(self.klass.T, hidden, out=self._space("classes", len(self.klass_bias), len(target)))
+        logits += self.klass_bias[:, None]
         found = -_log_sum(logits)
         for c, low, high in classes:
             own = slice(c * self.s.group, (c + 1) * self.s.group)
             found[low:high] += logits[c, low:high]
-            words = self.word[own] @ hidden[:, low:high] + self.word_bias[own, None]
-            found[low:high] += words[inside[low:high], np.arange(high - low)] - _log_sum(words)
+            words = np.matmul(self.word[own], hidden[:, low:high], out=self._space("words", self.s.group, high - low))
+            words += self.word_bias[own, None]
+            found[low:high] += words[inside[low:high], places[: high - low]] - _log_sum(words)
         out = np.empty_like(found)
         out[order] = found
         return out
@@ -120,8 +135,14 @@ class Network:
 
 
 def _log_sum(logits: np.ndarray) -> np.ndarray:
-    most = logits.max(0)
-    return most + np.log(np.exp(logits - most).sum(0, dtype=np.float64).astype(logits.dtype))
+    """The logarithm of the sum of exponentials of each column."""
+    out = np.empty(logits.shape[1], logits.dtype)
+    for low in range(0, len(out), _COLUMNS):
+        some = logits[:, low : low + _COLUMNS]
+        most = some.max(0)
+        powers = some - most
+        out[low : low + _COLUMNS] = most + np.log(np.exp(powers, out=powers).sum(0, dtype=np.float64).astype(logits.dtype))
+    return out
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -204,25 +225,28 @@ class Vocabulary:
     def __init__(self, frequent: np.ndarray, s: Settings):
         self.s, self.order = s, np.argsort(frequent)
         self.sorted = frequent[self.order]
+        self.places = np.searchsorted(self.sorted >> _PREFIX, np.arange((1 << 16) + 1, dtype=np.uint64)).astype(np.int32)
+        self.deepest = int(np.diff(self.places).max())
 
     def ids(self, words: np.ndarray) -> np.ndarray:
-        """A frequent word's rank, or the bucket of any other."""
+        """A frequent word's rank, or the bucket of any other; frequent words are found by their first 16 bits, few have the same."""
         out = self.s.words + (words % np.uint64(self.s.buckets)).astype(np.int64)
-        if len(self.sorted):
-            at = np.minimum(np.searchsorted(self.sorted, words), len(self.sorted) - 1)
-            same = self.sorted[at] == words
-            out[same] = self.order[at[same]]
+        at = self.places[words >> _PREFIX]
+        for _ in range(self.deepest):
+            same = np.flatnonzero(self.sorted.take(at, mode="clip") == words)
+            out[same] = self.order.take(at[same], mode="clip")
+            at += 1
         return out
 
 
 def neighbours(ids: np.ndarray, of: np.ndarray, s: Settings, at: np.ndarray) -> np.ndarray:
     """The ids on both sides of the positions ``at``; beyond a text's ends the id after the last."""
-    out = np.full((len(at), 2 * s.side), s.outputs, np.int64)
+    places = np.arange(len(ids)) + s.side * (of + 1)  # with so many strange ids before, between and after the texts
+    spaced = np.full((places[-1] + 1 if len(ids) else 0) + s.side, s.outputs, np.int64)
+    spaced[places] = ids
+    there, out = places[at], np.empty((len(at), 2 * s.side), np.int64)
     for k, step in enumerate([d for d in range(-s.side, s.side + 1) if d]):
-        there = at + step
-        inside = (there >= 0) & (there < len(ids))
-        inside[inside] = of[there[inside]] == of[at[inside]]
-        out[inside, k] = ids[there[inside]]
+        out[:, k] = spaced[there + step]
     return out
 
 
@@ -369,9 +393,10 @@ def _score_documents(docs: DataFrame, s: Settings) -> DataFrame:
             words, bounds = word_hashes(texts.dictionary)
             ids, of = vocabulary.ids(words), np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
             found = np.zeros(len(ids))
+            context = neighbours(ids, of, s, np.arange(len(ids)))
             for a in range(0, len(ids), _POSITIONS_AT_ONCE):
-                at = np.arange(a, min(a + _POSITIONS_AT_ONCE, len(ids)))
-                found[at] = network.log_probability(neighbours(ids, of, s, at), ids[at])
+                at = slice(a, a + _POSITIONS_AT_ONCE)
+                found[at] = network.log_probability(context[at], ids[at])
             others = np.flatnonzero(ids >= s.words)
             if len(known):
                 place = np.minimum(np.searchsorted(known, words[others]), len(known) - 1)

@@ -151,3 +151,25 @@ def test_graph_search_finds_the_nearest():
     assert (ids[:, 0] == exact.argmin(1)).mean() > 0.97
     assert np.allclose(d, np.take_along_axis(exact, ids, 1)) and (np.diff(d, axis=1) >= 0).all()
     assert all(len(set(row)) == 32 for row in ids.tolist())
+
+
+def test_probabilities_of_a_batch_are_worked_out_in_kept_space():
+    import tracemalloc
+
+    s = lm.Settings()
+    network, ids = lm.Network(s), np.random.default_rng(1).integers(0, s.outputs, (1 << 14, 5))
+    first = network.log_probability(ids[:, 1:], ids[:, 0])
+    tracemalloc.start()
+    again = network.log_probability(ids[:, 1:], ids[:, 0])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (again == first).all() and most < 4 << 20  # the logits of classes alone have 4 MB
+
+
+def test_frequent_words_with_the_same_first_bits_are_told_apart():
+    s = lm.Settings(words=6, buckets=3)
+    frequent = np.array([5 << 48, (5 << 48) + 9, 2**64 - 1, 0, (5 << 48) + 7, 2**64 - 2], np.uint64)
+    others = np.array([1, (5 << 48) + 8, 2**64 - 3, 6 << 48], np.uint64)
+    ids = lm.Vocabulary(frequent, s).ids(np.concatenate([frequent, others]))
+    assert ids.tolist() == [0, 1, 2, 3, 4, 5, *(6 + others % np.uint64(3)).tolist()]
+    assert (lm.Vocabulary(frequent[:0], s).ids(others) >= 6).all()
