@@ -127,11 +127,11 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
-_SEPARATORS = re.compile("[\x1c-\x1f]")  # white space for str.split, but not for tokenizers
+_SEPARATORS = "\x1c\x1d\x1e\x1f"  # white space for str.split, but not for tokenizers
 
 
 def between_spaces(text: str) -> list[str]:
-    return text.split() if _SEPARATORS.search(text) is None else regex.split(r"\s+", text.strip(" \t\n\r\f\v"))
+    return regex.split(r"\s+", text.strip(" \t\n\r\f\v")) if any(c in text for c in _SEPARATORS) else text.split()
 
 
 def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
@@ -177,13 +177,14 @@ class Identifiers:
         split = [between_spaces(_folded(t)) for t in texts]
         if self.size > self.most // 2:
             self.before, self.known, self.size = self.known, {}, 0
-        found = [list(map(self.known.get, words)) for words in split]
-        new = {w for words, ids in zip(split, found, strict=True) if None in ids for w, x in zip(words, ids, strict=True) if x is None}
-        made = self._encoded(new)
-        return [
-            b"".join([made[w] if x is None else x for w, x in zip(words, ids, strict=True)] if None in ids else ids)
-            for words, ids in zip(split, found, strict=True)
-        ]
+        made = self._encoded(set().union(*split).difference(self.known))
+        return [self._joined(words, made) for words in split]
+
+    def _joined(self, words: list[str], made: dict[str, bytes]) -> bytes:
+        try:
+            return b"".join(map(self.known.__getitem__, words))
+        except KeyError:  # a word too long to be remembered
+            return b"".join([made[w] if (ids := self.known.get(w)) is None else ids for w in words])
 
     def _encoded(self, texts: set[str]) -> dict[str, bytes]:
         again = {w: ids for w in texts if (ids := self.before.get(w)) is not None}

@@ -173,3 +173,23 @@ def test_frequent_words_with_the_same_first_bits_are_told_apart():
     ids = lm.Vocabulary(frequent, s).ids(np.concatenate([frequent, others]))
     assert ids.tolist() == [0, 1, 2, 3, 4, 5, *(6 + others % np.uint64(3)).tolist()]
     assert (lm.Vocabulary(frequent[:0], s).ids(others) >= 6).all()
+
+
+def test_ids_of_remembered_words_are_joined_without_a_step_per_word():
+    import sys
+
+    made, long, steps = Identifiers(vocabulary_path()), "x" * 70, []
+    made.of(["red green"])
+
+    def trace(frame, event, arg):
+        steps.append(event)
+        return trace
+
+    sys.settrace(trace)
+    try:
+        (got,) = made.of(["red green " * 5000 + "blue"])
+    finally:
+        sys.settrace(None)
+    red, blue, longest = (Identifiers(vocabulary_path()).of([x])[0] for x in ("red green", "blue", long))
+    assert got == red * 5000 + blue and len(steps) < 1000
+    assert made.of([f"red green {long} blue", "blue", f"{long}"]) == [red + longest + blue, blue, longest]
