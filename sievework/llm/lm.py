@@ -18,6 +18,7 @@ _COUNTED_AT_ONCE = 1 << 21
 _BLOCK = 1 << 14  # weights travel in blocks of so many
 _MERGED_AT_ONCE = 64
 _COLUMNS = 1 << 10  # positions whose values stay in a core's own cache
+_SAFE = 80.0  # logits nearer to 0 can be exponentiated and summed in single precision as they are
 _PREFIX = np.uint64(48)  # shifts a hash to its first 16 bits
 _UNITS = float(1 << 32)  # joined logarithms are summed as whole parts, so that sums don't depend on the order
 
@@ -77,56 +78,79 @@ class Network:
             self.spaces[name] = np.empty(size, np.float32)
         return self.spaces[name][:size].reshape(shape)
 
+    def _stacked(self) -> np.ndarray:
+        """For each class a matrix: the weights and, as the last column, the bias of every class, below them those of its own words."""
+        s, n = self.s, len(self.klass_bias)
+        out = self._space("stacked", n, n + s.group, s.hidden + 1)
+        out[:, :n, :-1], out[:, :n, -1] = self.klass.T, self.klass_bias
+        out[:, n:, :-1], out[:, n:, -1] = self.word.reshape(n, s.group, -1), self.word_bias.reshape(n, -1)
+        return out
+
+    def _near(self) -> bool:
+        """Whether no logit can leave the bounds of _SAFE: the hidden layer's values are at most 1."""
+        ones = np.ones(self.s.hidden, np.float32)
+        most = (ones @ np.abs(self.klass) + np.abs(self.klass_bias)).max(), (np.abs(self.word) @ ones + np.abs(self.word_bias)).max()
+        return max(most) < _SAFE
+
+    def _forward(self, context: np.ndarray, classes: list[tuple[int, int, int]], stacked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The neighbours' joined vectors (a row for each position), the hidden layer with a one below it, the logits of all
+        classes with those of the words of the target's class below them (a column for each position)."""
+        joined = self._space("joined", *context.shape, self.s.width)
+        self.embed.take(context, axis=0, out=joined, mode="clip")  # other modes fill a copy first
+        joined = joined.reshape(len(context), -1)
+        hidden = self._space("hidden", self.s.hidden + 1, len(context))
+        hidden[-1] = 1  # times the biases
+        own = np.matmul(self.inner.T, joined.T, out=hidden[:-1])
+        own += self.inner_bias[:, None]
+        np.tanh(own, out=own)
+        logits = self._space("logits", stacked.shape[1], len(context))
+        for c, low, high in classes:
+            np.matmul(stacked[c], hidden[:, low:high], out=logits[:, low:high])
+        return joined, hidden, logits
+
     def log_probability(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Of each target given its neighbours (a row of 2 * side ids each); single precision, so the last digit follows the batch."""
         order, classes = _by_class(target // self.s.group)
-        inside, places = target[order] % self.s.group, np.arange(len(target))
-        joined = self._space("joined", *context.shape, self.s.width)
-        self.embed.take(context[order], axis=0, out=joined, mode="clip")  # other modes fill a copy first
-        hidden = np.matmul(self.inner.T, joined.reshape(len(context), -1).T, out=self._space("hidden", self.s.hidden, len(context)))
-        hidden += self.inner_bias[:, None]
-        np.tanh(hidden, out=hidden)
-        logits = np.matmul(self.klass.T, hidden, out=self._space("classes", len(self.klass_bias), len(target)))
-        logits += self.klass_bias[:, None]
-        found = -_log_sum(logits)
-        for c, low, high in classes:
-            own = slice(c * self.s.group, (c + 1) * self.s.group)
-            found[low:high] += logits[c, low:high]
-            words = np.matmul(self.word[own], hidden[:, low:high], out=self._space("words", self.s.group, high - low))
-            words += self.word_bias[own, None]
-            found[low:high] += words[inside[low:high], places[: high - low]] - _log_sum(words)
+        target, places, n = target[order], np.arange(len(target)), len(self.klass_bias)
+        _, _, logits = self._forward(context[order], classes, self._stacked())
+        found = logits[target // self.s.group, places] + logits[n + target % self.s.group, places]
+        for some in (logits[:n], logits[n:]):
+            found -= _log_sum(some, self._near())
         out = np.empty_like(found)
         out[order] = found
         return out
 
     def learn(self, context: np.ndarray, target: np.ndarray, squares: np.ndarray) -> None:
         """One step on the mean loss of a batch; each weight's step falls with the squares of its past gradients."""
-        s, n = self.s, len(target)
+        s, n = self.s, len(self.klass_bias)
         if self.gradient is None:
             self.gradient = Network(s, np.zeros_like(self.flat))  # in the same layout, filled anew by each step
         own = self.gradient
         order, classes = _by_class(target // s.group)
-        context, inside = context[order], target[order] % s.group
-        joined = self.embed.take(context, axis=0).reshape(n, -1)
-        hidden = np.tanh(self.inner.T @ joined.T + self.inner_bias[:, None])
-        own.word[:], own.word_bias[:], own.embed[:] = 0, 0, 0
-        wrong = _softmax(self.klass.T @ hidden + self.klass_bias[:, None])
-        for c, low, high in classes:
-            wrong[c, low:high] -= 1
-        wrong /= n
-        own.klass[:], own.klass_bias[:] = hidden @ wrong.T, wrong.sum(1)
-        back = self.klass @ wrong
+        context, target, stacked = context[order], target[order], self._stacked()
+        joined, hidden, wrong = self._forward(context, classes, stacked)
+        _softmax_error(wrong[:n], target // s.group, self._near())
+        _softmax_error(wrong[n:], target % s.group, self._near())
+        sums = self._space("sums", *stacked.shape)
+        sums[:] = 0
+        back = self._space("back", s.hidden, len(target))
         for c, low, high in classes:
-            part, some = slice(c * s.group, (c + 1) * s.group), hidden[:, low:high]
-            wrong = _softmax(self.word[part] @ some + self.word_bias[part, None])
-            wrong[inside[low:high], np.arange(high - low)] -= 1
-            wrong /= n
-            own.word[part], own.word_bias[part] = wrong @ some.T, wrong.sum(1)
-            back[:, low:high] += self.word[part].T @ wrong
-        back *= 1 - hidden * hidden
-        own.inner[:], own.inner_bias[:] = joined.T @ back.T, back.sum(1)
-        _add_rows(own.embed, context.ravel(), (back.T @ self.inner.T).reshape(-1, s.width))
-        step = own.flat * own.flat
+            some = wrong[:, low:high]
+            np.matmul(some, hidden[:, low:high].T, out=sums[c])
+            np.matmul(stacked[c, :, :-1].T, some, out=back[:, low:high])
+        of_classes = sums[:, :n].sum(0)
+        own.klass[:], own.klass_bias[:] = of_classes[:, :-1].T, of_classes[:, -1]
+        own.word[:], own.word_bias[:] = sums[:, n:, :-1].reshape(own.word.shape), sums[:, n:, -1].ravel()
+        hidden *= hidden
+        back *= np.subtract(1, hidden[:-1], out=hidden[:-1])
+        np.matmul(joined.T, back.T, out=own.inner)
+        back.sum(1, out=own.inner_bias)
+        rows = np.matmul(self.inner, back, out=joined.reshape(-1, len(target))).reshape(-1, s.width, len(target))
+        words = context.T.ravel()  # a word may be several positions' neighbour
+        for k in range(s.width):
+            own.embed[:, k] = np.bincount(words, rows[:, k].ravel(), minlength=len(own.embed))
+        own.flat /= len(target)
+        step = np.multiply(own.flat, own.flat, out=self._space("step", len(own.flat)))
         squares += step
         np.sqrt(np.add(squares, 1e-8, out=step), out=step)
         np.divide(own.flat, step, out=step)
@@ -134,23 +158,27 @@ class Network:
         self.flat -= step
 
 
-def _log_sum(logits: np.ndarray) -> np.ndarray:
-    """The logarithm of the sum of exponentials of each column."""
+def _log_sum(logits: np.ndarray, near: bool = False) -> np.ndarray:
+    """The logarithm of the sum of exponentials of each column; the logits are lost. near: all are within _SAFE."""
     out = np.empty(logits.shape[1], logits.dtype)
     for low in range(0, len(out), _COLUMNS):
         some = logits[:, low : low + _COLUMNS]
-        most = some.max(0)
-        powers = some - most
-        out[low : low + _COLUMNS] = most + np.log(np.exp(powers, out=powers).sum(0, dtype=np.float64).astype(logits.dtype))
+        most = 0.0 if near else some.max(0)
+        if not near:
+            some -= most
+        out[low : low + _COLUMNS] = np.log(np.exp(some, out=some).sum(0)) + most
     return out
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    """Of each column, in place."""
-    logits -= logits.max(0)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(0)
-    return logits
+def _softmax_error(logits: np.ndarray, target: np.ndarray, near: bool) -> None:
+    """Of each column its softmax, less one at its target; in place. near: all logits are within _SAFE."""
+    for low in range(0, len(target), _COLUMNS):
+        some = logits[:, low : low + _COLUMNS]
+        if not near:
+            some -= some.max(0)
+        np.exp(some, out=some)
+        some /= some.sum(0)
+    logits.reshape(-1)[target * len(target) + np.arange(len(target))] -= 1
 
 
 def _by_class(klass: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
@@ -161,12 +189,6 @@ def _by_class(klass: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]
     return order, [(int(c), int(ends[c] - counts[c]), int(ends[c])) for c in np.flatnonzero(counts)]
 
 
-def _add_rows(to: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    """Adds rows to those of a matrix, several to one possibly."""
-    for column in range(to.shape[1]):
-        to[:, column] += np.bincount(at, rows[:, column], minlength=len(to))
-
-
 def word_counts(docs: DataFrame) -> DataFrame:
     """word (its hash) and times of every word of all documents; counts are merged in tasks, then by word."""
 

@@ -166,6 +166,67 @@ def test_probabilities_of_a_batch_are_worked_out_in_kept_space():
     assert (again == first).all() and most < 4 << 20  # the logits of classes alone have 4 MB
 
 
+def test_a_step_of_learning_is_worked_out_in_kept_space():
+    import tracemalloc
+
+    s = lm.Settings()
+    network, ids = lm.Network(s), np.random.default_rng(1).integers(0, s.outputs, (s.batch, 5))
+    squares = np.zeros(len(network.flat), np.float32)
+    network.learn(ids[:, 1:], ids[:, 0], squares)
+    tracemalloc.start()
+    network.learn(ids[:, 1:], ids[:, 0], squares)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 3 << 20  # the logits of classes and of words have 4 MB
+
+
+@pytest.mark.parametrize("scale", [0.3, 200])
+def test_a_step_follows_the_exact_gradient_also_of_logits_that_overflow(scale):
+    s = lm.Settings(words=10, buckets=2, side=1, width=3, hidden=4, group=4)
+    random_ = np.random.default_rng(2)
+    network = lm.Network(s, random_.standard_normal(len(lm.Network(s).flat)) * 0.3)
+    network.klass *= scale / 0.3
+    network.word *= scale / 0.3
+    context, target = random_.integers(0, s.outputs + 1, (50, 2)), random_.integers(0, s.outputs, 50)
+    embed, inner, inner_bias, klass, klass_bias, word, word_bias = (x.astype(np.float64) for x in (network.embed, network.inner, network.inner_bias, network.klass, network.klass_bias, network.word, network.word_bias))
+    joined = embed[context].reshape(50, -1)
+    hidden = np.tanh(joined @ inner + inner_bias)
+    found, want = np.zeros(50), {k: np.zeros_like(x) for k, x in (("klass", klass), ("klass_bias", klass_bias), ("word", word), ("word_bias", word_bias), ("inner", inner), ("embed", embed))}
+    for i in range(50):
+        c = target[i] // s.group
+        own = slice(c * s.group, (c + 1) * s.group)
+        back = np.zeros(s.hidden)
+        for weights, bias, right, into, into_bias in ((klass, klass_bias, c, want["klass"], want["klass_bias"]), (word[own].T, word_bias[own], target[i] % s.group, want["word"][own].T, want["word_bias"][own])):
+            logits = hidden[i] @ weights + bias
+            p = np.exp(logits - logits.max())
+            p /= p.sum()
+            found[i] += logits[right] - logits.max() - np.log(np.exp(logits - logits.max()).sum())
+            p[right] -= 1
+            into += np.outer(hidden[i], p) / 50
+            into_bias += p / 50
+            back += weights @ p / 50
+        back *= 1 - hidden[i] ** 2
+        want["inner"] += np.outer(joined[i], back)
+        np.add.at(want["embed"], context[i], (inner @ back).reshape(2, -1))
+    assert np.allclose(network.log_probability(context, target), found, rtol=1e-5, atol=5e-6 * (1 + scale))
+    network.learn(context, target, np.zeros(len(network.flat), np.float32))
+    for k, x in want.items():
+        assert np.allclose(getattr(network.gradient, k), x, rtol=1e-4, atol=5e-6 * (1 + scale)), k
+
+
+def test_hashing_takes_little_room_beside_the_words():
+    import tracemalloc
+
+    texts = pa.array(["words of a long text " * 50_000, "ab"])
+    hashes, bounds = word_hashes(texts)
+    tracemalloc.start()
+    word_hashes(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert bounds.tolist() == [0, 250_000, 250_001] and len(set(hashes.tolist())) == 6
+    assert most < 14 << 20  # 250,001 words have 2 MB, the terms of all bytes would have 8 MB
+
+
 def test_frequent_words_with_the_same_first_bits_are_told_apart():
     s = lm.Settings(words=6, buckets=3)
     frequent = np.array([5 << 48, (5 << 48) + 9, 2**64 - 1, 0, (5 << 48) + 7, 2**64 - 2], np.uint64)
